@@ -1,0 +1,5 @@
+"""Deliberately empty: every source in scope is a finite table.
+
+Late re-submissions of a ledger file are a batch matter and are handled by the
+cut-off rule in :mod:`fiscoframe.operators.versioning`.
+"""
