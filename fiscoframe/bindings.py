@@ -351,7 +351,7 @@ VIEWS: dict[str, str] = {
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey WHERE o_orderstatus = 'P'""",
 }
 
-_NAME = re.compile(r"\{(\w+)\}")
+_NAME = re.compile(r"\{([a-z]\w*)\}")
 
 
 def needed_views(sql: str) -> list[str]:

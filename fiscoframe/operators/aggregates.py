@@ -29,18 +29,15 @@ def _tie_key(value: Column, tie: str) -> Column:
 def attribute_values(df: DataFrame, keys: Sequence[str], attributes: Mapping[str, str]) -> DataFrame:
     """(keys, attribute, value) rows of several columns, scalar or list, in one pass."""
     types = dict(df.dtypes)
-    pairs = []
-    for name, column in attributes.items():
+
+    def pairs(name: str, column: str) -> Column:
         values = F.col(column)
         if not types[column].startswith("array"):
             values = F.array(values.cast("string"))
-        pairs.append(
-            F.transform(
-                F.coalesce(values, F.array().cast("array<string>")),
-                lambda v, name=name: F.struct(F.lit(name).alias("attribute"), v.alias("value")),
-            )
-        )
-    return df.select(*keys, F.inline(F.concat(*pairs)))
+        values = F.coalesce(values, F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("attribute"), v.alias("value")))
+
+    return df.select(*keys, F.inline(F.concat(*[pairs(n, c) for n, c in attributes.items()])))
 
 
 def modes(

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from fiscoframe.functions.values import net_item_value, preferred_gtin
 from fiscoframe.schemas import MANUAL_FACTOR, MOVEMENT, TRANSACTION, conform, first_present, measure
 
-ZERO = F.lit(0)
 
 _LEDGER_ALIASES = {
     "codigo": ("cod_item",),
@@ -36,6 +35,10 @@ _INVOICE_ALIASES = {
 }
 
 
+def no_amount() -> Column:
+    return measure(F.lit(0))
+
+
 def only_cfop(df: DataFrame, cfop: DataFrame | None) -> DataFrame:
     """Keep operations whose code is listed; no list or no code column keeps all."""
     code = first_present(df, "co_cfop", "cfop")
@@ -67,7 +70,7 @@ def read_invoice_items(df: DataFrame, source: str, cfop: DataFrame | None = None
         .withColumn("fonte", F.lit(source))
     )
     out = conform(rows.drop("cnpj", "descr_compl", "tipo_item"), TRANSACTION, _INVOICE_ALIASES)
-    return out.withColumns({"valor_entrada": measure(ZERO), "quantidade_entrada": measure(ZERO)})
+    return out.withColumns({"valor_entrada": no_amount(), "quantidade_entrada": no_amount()})
 
 
 def read_ledger_items(df: DataFrame, cfop: DataFrame | None = None, source: str = "C170") -> DataFrame:
@@ -82,7 +85,7 @@ def read_ledger_items(df: DataFrame, cfop: DataFrame | None = None, source: str
     quantity = measure(F.col("qtd")) if "qtd" in df.columns else measure(F.lit(None))
 
     def when(code: str, amount: Column) -> Column:
-        return F.when(direction == code, amount).otherwise(measure(ZERO))
+        return F.when(direction == code, amount).otherwise(no_amount())
 
     rows = rows.withColumns(
         {
@@ -101,7 +104,7 @@ def read_inventory_items(df: DataFrame, source: str = "bloco_h") -> DataFrame:
     """Inventory lines as a source of item characteristics, without amounts."""
     rows = df.drop("descr_compl", "quantidade").withColumn("fonte", F.lit(source))
     out = conform(rows, TRANSACTION, _INVENTORY_ALIASES)
-    zero = measure(ZERO)
+    zero = no_amount()
     return out.withColumns(
         {
             "valor_entrada": zero,
@@ -117,7 +120,7 @@ def read_invoice_movements(df: DataFrame, cfop: DataFrame | None = None) -> Data
     rows = (
         only_cfop(outgoing(df), cfop)
         .withColumn("vendas", net_item_value(df))
-        .withColumn("compras", measure(ZERO))
+        .withColumn("compras", no_amount())
         .withColumn("gtin", preferred_gtin(df))
     )
     return conform(rows.drop("cnpj", "descr_compl", "tipo_item"), MOVEMENT, _INVOICE_ALIASES)
@@ -127,14 +130,14 @@ def read_ledger_movements(df: DataFrame, cfop: DataFrame | None = None) -> DataF
     """Purchases per unit: incoming ledger items."""
     value = first_present(df, "vl_item", "valor_item")
     rows = only_cfop(df.where(F.col("ind_oper").cast("string") == "0"), cfop)
-    rows = rows.withColumn("compras", measure(F.col(value)) if value else measure(ZERO)).withColumn(
-        "vendas", measure(ZERO)
+    rows = rows.withColumn("compras", measure(F.col(value)) if value else no_amount()).withColumn(
+        "vendas", no_amount()
     )
     return conform(rows, MOVEMENT, {**_LEDGER_ALIASES, "unid": ("unid",)})
 
 
 def read_inventory_movements(df: DataFrame) -> DataFrame:
-    rows = df.drop("descr_compl").withColumn("compras", measure(ZERO)).withColumn("vendas", measure(ZERO))
+    rows = df.drop("descr_compl").withColumn("compras", no_amount()).withColumn("vendas", no_amount())
     return conform(rows, MOVEMENT, _INVENTORY_ALIASES)
 
 
