@@ -147,7 +147,7 @@ def clean_item_code(column: Column) -> Column:
 
 
 def normalize_elements(column: Column) -> Column:
-    return F.transform(column, normalize)
+    return F.transform(column, lambda v: normalize(v))
 
 
 def search_text(column: Column, exact: bool = True) -> Column:

@@ -20,6 +20,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+EXACT = False
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -32,7 +34,7 @@ def simple(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return 0.0 if value == 0 else float(f"{value:.12g}")
+        return 0.0 if value == 0 else (value if EXACT else float(f"{value:.12g}"))
     if isinstance(value, (dt.date, dt.datetime)):
         return value.isoformat()
     return value
@@ -68,7 +70,10 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--exact", action="store_true", help="compare floats bit by bit")
     args = parser.parse_args()
+    global EXACT
+    EXACT = args.exact
     queries, sql = checks.loaded(checks.QUERIES), checks.loaded(checks.SQL)
     names = [n for n in queries if not args.names or any(n.startswith(p) for p in args.names)]
     logging.disable(logging.CRITICAL)
