@@ -17,7 +17,7 @@ from fiscoframe.bindings import bound_tables, standalone_sql
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-_MODULES = ("sources", "predicates", "joins", "aggregates", "windows", "scalars", "audits")
+_MODULES = ("sources", "predicates", "joins", "aggregates", "windows", "scalars", "jobs", "audits")
 
 
 def plain(df: DataFrame) -> DataFrame:
