@@ -375,7 +375,18 @@ def standalone_sql(sql: str) -> str:
     return _NAME.sub(lambda m: m.group(1), text)
 
 
+_OPEN: dict[tuple[str, str], Mapping[str, DataFrame]] = {}
+
+
 def bound_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The views of a folder; their (lazy) definitions are built once per application."""
+    key = (spark.sparkContext.applicationId + str(id(spark)), sf_dir)
+    if key not in _OPEN:
+        _OPEN[key] = _bind(spark, sf_dir)
+    return _OPEN[key]
+
+
+def _bind(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """Base tables and views as DataFrames, opened on first use."""
     openers = {
         name: (lambda name=name: spark.read.parquet(f"{sf_dir}/{name}.parquet")) for name in BASE_TABLES

@@ -12,6 +12,7 @@ from fiscoframe.plans import items as it
 from fiscoframe.plans import merge as mg
 from fiscoframe.plans import products as pr
 from fiscoframe.plans import units
+from fiscoframe.session import stage
 from fiscoframe.sources.reference import classification_tables, marked_cfop
 
 _ALLOWED = "(SELECT co_cfop FROM {dm_cfop} WHERE operacao_mercantil = 'X')"
@@ -65,6 +66,11 @@ def _items(t):
     return classify(rows, classification_tables(t))
 
 
+def _stored_items(t):
+    """The same as a stored table, for jobs that read it more than once."""
+    return stage(_items(t))
+
+
 def _normal(t):
     return it.normalize_items(_items(t))
 
@@ -150,7 +156,7 @@ def _mode_sql(column: str, name: str) -> str:
           (SELECT cnpj, descricao, v, count(*) AS n FROM (SELECT cnpj, descricao, unnest(unidades) AS v FROM x) GROUP BY 1, 2, 3) GROUP BY 1, 2) ON k1 = d.cnpj AND k2 = d.descricao""",
 )
 def i04_rows(t):
-    return ds.descriptions(_normal(t), mode_over="rows").select(
+    return ds.descriptions(it.normalize_items(_stored_items(t)), mode_over="rows").select(
         "cnpj", "descricao", "ncm_padrao", "gtin_padrao", "unid_padrao"
     )
 
@@ -260,7 +266,7 @@ def _assignment(products):
 
 @check("I10_grouped_products", _GROUPS_SQL)
 def i10_groups(t):
-    products = pr.products(pr.unit_movements(t, _cfop(t)))
+    products = stage(pr.products(pr.unit_movements(t, _cfop(t))))
     grouped = pr.grouped_products(products, _assignment(products))
     return grouped.select("cnpj", "id_agrupado", "lista_chave_produto", "lista_unidades")
 
@@ -276,7 +282,7 @@ def i10_groups(t):
         SELECT d.cnpj, d.id_agrupado, descr_padrao, ncm_padrao FROM d LEFT JOIN m ON m.cnpj = d.cnpj AND m.id_agrupado = d.id_agrupado""",
 )
 def i10_defaults(t):
-    products = pr.products(pr.unit_movements(t, _cfop(t)))
+    products = stage(pr.products(pr.unit_movements(t, _cfop(t))))
     grouped = pr.grouped_products(products, _assignment(products))
     return grouped.where(F.col("id_agrupado").startswith("G_")).select("cnpj", "id_agrupado", "descr_padrao", "ncm_padrao")
 
@@ -286,7 +292,7 @@ def i10_defaults(t):
     f"""SELECT cnpj, chave_produto, replace(chave_produto, 'id_produto_', 'id_agrupado_') AS id_agrupado, descricao_normalizada, lista_codigos FROM ({_PRODUCT_TABLE_SQL})""",
 )
 def i10_members(t):
-    products = pr.products(pr.unit_movements(t, _cfop(t)))
+    products = stage(pr.products(pr.unit_movements(t, _cfop(t))))
     members = pr.group_members(pr.grouped_products(products), products)
     return members.select("cnpj", "chave_produto", "id_agrupado", "descricao_normalizada", "lista_codigos")
 
@@ -309,9 +315,9 @@ _PRICES = "pe AS preco_medio_entrada, ps AS preco_medio_saida"
 
 
 def _base(t):
-    items = _items(t)
+    items = _stored_items(t)
     products = ds.consolidated_products(ds.descriptions_v2(it.normalize_items(items)))
-    return units.conversion_base(_documents(t), products, items)
+    return stage(units.conversion_base(_documents(t), products, items))
 
 
 @check(
@@ -366,6 +372,7 @@ def i12_queue(t):
 )
 def i13(t):
     movements = pr.unit_movements(t, _cfop(t))
+    movements = stage(movements)
     return units.legacy_factors(pr.products(movements), movements)
 
 
@@ -391,7 +398,7 @@ def _natural(v: str) -> str:
 
 
 def _merge_input(t):
-    editable = mg.editable_table(ds.descriptions(_normal(t)))
+    editable = stage(mg.editable_table(ds.descriptions(_normal(t))))
     assignment = editable.select("cnpj", F.substring("descricao", 1, 1).alias("grupo"), "chave_produto")
     return editable, assignment
 
@@ -441,7 +448,7 @@ def _row_mode(column: str, name: str) -> str:
           {_row_mode("ncm", "ncm_padrao")} {_row_mode("cest", "cest_padrao")} {_row_mode("tipo_item", "tipo_item_padrao")} {_row_mode("sefin", "co_sefin_agr")}""",
 )
 def i17(t):
-    items = _normal(t)
+    items = it.normalize_items(_stored_items(t))
     out = mg.recompute_defaults(mg.editable_table(ds.descriptions(items)), items)
     return out.select("cnpj", "chave_produto", "ncm_padrao", "cest_padrao", "tipo_item_padrao", "co_sefin_agr")
 
@@ -458,7 +465,7 @@ def _totals_sql(column: str) -> str:
         LEFT JOIN {_totals_sql("ve")} e ON e.cnpj = p.cnpj AND e.descricao = p.descricao LEFT JOIN {_totals_sql("vs")} s ON s.cnpj = p.cnpj AND s.descricao = p.descricao""",
 )
 def i18(t):
-    items = _items(t)
+    items = _stored_items(t)
     editable = mg.editable_table(ds.descriptions(it.normalize_items(items)))
     out = mg.with_value_totals(editable, _documents(t), items)
     return out.select("cnpj", "chave_produto", "tot_v_entradas", "tot_v_saidas")

@@ -26,7 +26,8 @@ STOP_WORDS = (
 
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 _SPACE_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]"
-_NON_ASCII = "[^\\x00-\\x7F]"
+# The Hangul syllables, which all decompose into several letters.
+_HANGUL = (0xAC00, 0xD7A3)
 
 
 def _is_mark(ch: str, form: str) -> bool:
@@ -38,48 +39,31 @@ def _is_mark(ch: str, form: str) -> bool:
 @cache
 def _fold_tables(form: str) -> tuple[str, str, str]:
     """(characters to fold, their replacements, characters that expand)."""
-    kept, target, dropped, expanding = [], [], [], []
+    folded, plain, dropped, expanding = [], [], [], []
     for code in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= code <= 0xDFFF or 0xAC00 <= code <= 0xD7A3:
+        if 0xD800 <= code <= 0xDFFF or _HANGUL[0] <= code <= _HANGUL[1]:
             continue
         ch = chr(code)
-        decomposed = unicodedata.normalize(form, ch)
-        if decomposed == ch:
-            if _is_mark(ch, form):
-                dropped.append(ch)
+        if not unicodedata.decomposition(ch) and not _is_mark(ch, form):
             continue
-        bare = "".join(part for part in decomposed if not _is_mark(part, form))
-        if code > 0xFFFF:
-            # outside the basic plane: left to the Arrow function
-            if bare != ch:
-                expanding.append(ch)
-        elif len(bare) == 1 and ord(bare) <= 0xFFFF:
-            kept.append(ch)
-            target.append(bare)
-        elif bare:
-            expanding.append(ch)
-        else:
+        bare = "".join(part for part in unicodedata.normalize(form, ch) if not _is_mark(part, form))
+        if bare == ch:
+            continue
+        if not bare:
             dropped.append(ch)
-    dropped = [ch for ch in dropped if ord(ch) <= 0xFFFF]
-    return "".join(kept + dropped), "".join(target), "".join(expanding)
-
-
-def _ranges(chars: str) -> str:
-    """Regex class body covering exactly the given characters."""
-    codes = sorted(map(ord, chars))
-    parts, start = [], None
-    for i, code in enumerate(codes):
-        if start is None:
-            start = code
-        if i + 1 == len(codes) or codes[i + 1] != code + 1:
-            parts.append(f"\\x{{{start:x}}}" + (f"-\\x{{{code:x}}}" if code != start else ""))
-            start = None
-    return "".join(parts)
+        elif len(bare) == 1:
+            folded.append(ch)
+            plain.append(bare)
+        else:
+            expanding.append(ch)
+    return "".join(folded + dropped), "".join(plain), "".join(expanding)
 
 
-@cache
-def _expanding_pattern(form: str) -> str:
-    return "[" + _ranges(_fold_tables(form)[2]) + "\\x{ac00}-\\x{d7a3}]"
+def _expands(column: Column, form: str) -> Column:
+    """True if some character folds to several: removing those shortens the text."""
+    shorter = F.translate(column, _fold_tables(form)[2], "")
+    syllables = column.rlike(f"[\\x{{{_HANGUL[0]:x}}}-\\x{{{_HANGUL[1]:x}}}]")
+    return (F.length(shorter) < F.length(column)) | syllables
 
 
 def _arrow_fold(form: str):
@@ -101,7 +85,7 @@ def strip_accents(column: Column, form: str = "NFD", exact: bool = False) -> Col
     native = F.translate(column, source, target)
     if not exact:
         return native
-    expanded = _arrow_fold(form)(F.when(column.rlike(_expanding_pattern(form)), column))
+    expanded = _arrow_fold(form)(F.when(_expands(column, form), column))
     return F.coalesce(expanded, native)
 
 

@@ -194,27 +194,40 @@ def parse_code_entry(entry: Column) -> tuple[Column, Column]:
     return code, F.coalesce(count.cast("bigint"), F.lit(1).cast("bigint"))
 
 
-def code_frequencies(df: DataFrame, keys: Sequence[str], entries: str) -> DataFrame:
+def code_frequencies(df: DataFrame, keys: Sequence[str], entries: str, spare: str | None = None) -> DataFrame:
     """Default code per group and its codes re-rendered with their largest count.
 
-    Codes are summed per (group, code) before anything is collected.
+    Codes are summed per (group, code) before anything is collected.  Groups without
+    any code use the entries of the ``spare`` column.
     """
-    code, count = parse_code_entry(F.col("__entry"))
+    tagged = attribute_values(df, keys, {"own": entries, **({"spare": spare} if spare else {})})
+    code, count = parse_code_entry(F.col("value"))
     per_code = (
-        df.select(*keys, F.explode(entries).alias("__entry"))
-        .where(F.col("__entry") != "")
-        .select(*keys, code.alias("__code"), count.alias("__count"))
-        .groupBy(*keys, "__code")
+        tagged.where(F.col("value") != "")
+        .select(*keys, "attribute", code.alias("__code"), count.alias("__count"))
+        .groupBy(*keys, "attribute", "__code")
         .agg(F.sum("__count").alias("__sum"), F.max("__count").alias("__max"))
     )
     natural = natural_key(F.col("__code"))
     rendered = F.concat(F.lit("["), F.col("__code"), F.lit("; "), F.col("__max").cast("string"), F.lit("]"))
-    ordered = F.sort_array(
-        F.collect_list(F.struct(natural.alias("k"), F.col("__code").alias("c"), rendered.alias("r")))
+    entry = F.struct(natural.alias("k"), F.col("__code").alias("c"), rendered.alias("r"))
+    rank = F.struct(-F.col("__sum"), natural, F.col("__code"))
+
+    def chosen(tag: str, value: Column) -> Column:
+        return F.when(F.col("attribute") == tag, value)
+
+    grouped = per_code.groupBy(*keys).agg(
+        F.min_by(chosen("own", F.col("__code")), chosen("own", rank)).alias("own_default"),
+        F.min_by(chosen("spare", F.col("__code")), chosen("spare", rank)).alias("spare_default"),
+        F.collect_list(chosen("own", entry)).alias("own_list"),
+        F.collect_list(chosen("spare", entry)).alias("spare_list"),
     )
-    return per_code.groupBy(*keys).agg(
-        F.min_by("__code", F.struct(-F.col("__sum"), natural, F.col("__code"))).alias("codigo_padrao"),
-        F.transform(ordered, lambda e: e["r"]).alias("lista_codigos"),
+    has_own = F.col("own_default").isNotNull()
+    kept = F.sort_array(F.when(has_own, F.col("own_list")).otherwise(F.col("spare_list")))
+    return grouped.select(
+        *keys,
+        F.coalesce("own_default", "spare_default").alias("codigo_padrao"),
+        F.transform(kept, lambda e: e["r"]).alias("lista_codigos"),
     )
 
 

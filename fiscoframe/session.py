@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -53,3 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="fiscoframe-checkpoint-")
     context.setCheckpointDir(configured)
     return configured
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Hand a table to several later steps: stored once, lineage cut.
+
+    Used where a step reads its input more than once and the input is not already a
+    stored table.  The copy is on shared storage, so losing executors loses nothing.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
