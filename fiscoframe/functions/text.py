@@ -25,7 +25,7 @@ STOP_WORDS = (
 )
 
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
-_SPACE_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]"
+_ASCII_SPACES = "[\\t-\\r\\x1c-\\x20]+"
 # The Hangul syllables, which all decompose into several letters.
 _HANGUL = (0xAC00, 0xD7A3)
 
@@ -79,14 +79,26 @@ def _arrow_fold(form: str):
     return fold
 
 
-def strip_accents(column: Column, form: str = "NFD", exact: bool = False) -> Column:
-    """Decompose and drop combining marks; ``exact`` adds the Arrow pass."""
+def is_ascii(column: Column) -> Column:
+    """Cheap test: as many bytes as characters."""
+    return F.length(column) == F.octet_length(column)
+
+
+def strip_accents(column: Column, form: str = "NFD", exact: bool = False, spaces: bool = False) -> Column:
+    """Decompose and drop combining marks; ``exact`` adds the Arrow pass.
+
+    Plain ASCII text is returned as it is.  ``spaces`` also turns every non-ASCII
+    white space into a blank.
+    """
     source, target, _ = _fold_tables(form)
-    native = F.translate(column, source, target)
+    if spaces:
+        blanks = "".join(ch for ch in WHITESPACE if ord(ch) > 0x7F)
+        source, target = blanks + source, " " * len(blanks) + target
+    native = F.when(is_ascii(column), column).otherwise(F.translate(column, source, target))
     if not exact:
         return native
-    expanded = _arrow_fold(form)(F.when(_expands(column, form), column))
-    return F.coalesce(expanded, native)
+    expanded = _arrow_fold(form)(F.when(~is_ascii(column) & _expands(column, form), column))
+    return F.coalesce(F.translate(expanded, source, target) if spaces else expanded, native)
 
 
 def strip(column: Column) -> Column:
@@ -94,10 +106,6 @@ def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(WHITESPACE))
 
 
-def collapse_spaces(column: Column) -> Column:
-    return strip(F.regexp_replace(column, _SPACE_CLASS + "+", " "))
-
-
 def normalize(column: Column, exact: bool = False) -> Column:
     """Accent-free, upper case, stripped; null stays null."""
     return strip(F.upper(strip_accents(column.cast("string"), "NFD", exact)))
@@ -105,7 +113,8 @@ def normalize(column: Column, exact: bool = False) -> Column:
 
 def normalize_description(column: Column, empty_to_null: bool = True, exact: bool = False) -> Column:
     """:func:`normalize` with inner white space collapsed."""
-    value = collapse_spaces(normalize(column, exact))
+    plain = F.upper(strip_accents(column.cast("string"), "NFD", exact, spaces=True))
+    value = F.trim(F.regexp_replace(plain, _ASCII_SPACES, " "))
     return F.nullif(value, F.lit("")) if empty_to_null else value
 
 
@@ -135,11 +144,14 @@ def normalize_elements(column: Column) -> Column:
 
 
 def search_text(column: Column, exact: bool = True) -> Column:
-    """Search form of a description: plain letters and digits, stop-words gone."""
+    """Search form of a description: plain letters and digits, stop-words gone.
+
+    Words are separated by single blanks first, so a stop-word is one that has a
+    blank on both sides.
+    """
     plain = F.upper(strip_accents(F.coalesce(column.cast("string"), F.lit("")), "NFKD", exact))
-    words = F.split(F.regexp_replace(plain, "[^A-Z0-9]+", " "), " ")
-    stop = F.array(*[F.lit(word) for word in STOP_WORDS])
-    return F.array_join(F.filter(words, lambda w: (w != "") & ~F.array_contains(stop, w)), " ")
+    words = F.concat(F.lit(" "), F.regexp_replace(plain, "[^A-Z0-9]+", " "), F.lit(" "))
+    return F.trim(F.regexp_replace(words, f"(?<= )(?:{'|'.join(STOP_WORDS)}) ", ""))
 
 
 def natural_key(column: Column) -> Column:

@@ -73,13 +73,20 @@ def modes(
     )
 
 
+def _only(column: Column) -> Column:
+    """The single element of a short list, stripped; blank gives null."""
+    return F.nullif(strip(F.get(column, 0)), F.lit(""))
+
+
 def mode_of_list(column: Column, tie: str = ALPHABETICAL) -> Column:
     """Mode of one list cell (blanks ignored, values stripped).
 
-    The values are sorted once and counted as runs of equal neighbours.
+    Short lists and lists without repeats, the usual case, are answered directly;
+    otherwise the values are sorted and counted as runs of equal neighbours.
     """
-    stripped = F.transform(F.coalesce(column, F.array().cast("array<string>")), strip)
-    values = F.array_sort(F.filter(stripped, lambda v: v != ""))
+    listed = F.coalesce(column, F.array().cast("array<string>"))
+    clean = F.array_remove(F.transform(listed, strip), "")
+    values = F.sort_array(clean)
     flagged = F.transform(
         values, lambda v, i: F.when((i == 0) | (F.get(values, i - 1) != v), i).otherwise(F.lit(None))
     )
@@ -92,7 +99,10 @@ def mode_of_list(column: Column, tie: str = ALPHABETICAL) -> Column:
             F.get(values, start).alias("v"),
         ),
     )
-    return F.array_min(runs)["v"]
+    counted = F.array_min(runs)["v"]
+    if tie == ALPHABETICAL:
+        counted = F.when(F.size(F.array_distinct(clean)) == F.size(clean), F.array_min(clean)).otherwise(counted)
+    return F.when(F.size(listed) <= 1, _only(listed)).otherwise(counted)
 
 
 def word_count(column: Column) -> Column:
@@ -102,11 +112,10 @@ def word_count(column: Column) -> Column:
 
 def most_words_of_list(column: Column) -> Column:
     """Element with most words, then alphabetical."""
-    values = F.filter(
-        F.transform(F.coalesce(column, F.array().cast("array<string>")), strip), lambda v: v != ""
-    )
+    listed = F.coalesce(column, F.array().cast("array<string>"))
+    values = F.array_remove(F.transform(listed, strip), "")
     scored = F.transform(values, lambda v: F.struct((-word_count(v)).alias("n"), v.alias("v")))
-    return F.array_min(scored)["v"]
+    return F.when(F.size(listed) <= 1, _only(listed)).otherwise(F.array_min(scored)["v"])
 
 
 def most_words(description: Column, position: Column) -> Column:
@@ -252,10 +261,3 @@ def groups_with_several(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of groups that have more than one row."""
     return with_group_size(df, keys, "__n").where(F.col("__n") > 1).drop("__n")
 
-
-def mean_of_positive(column: Column) -> Column:
-    """Aggregate: mean of the positive values, 0 when there is none."""
-    positive = column > 0
-    total = F.sum(F.when(positive, column)).cast("double")
-    rows = F.count(F.when(positive, column)).cast("double")
-    return F.coalesce(F.try_divide(total, rows), F.lit(0.0))

@@ -13,7 +13,7 @@ from fiscoframe.operators.aggregates import sorted_distinct
 from fiscoframe.operators.lookup import ClassificationTables, classify
 from fiscoframe.operators.ranking import number_rows, numbered_id
 from fiscoframe.operators.sets import union_conformed
-from fiscoframe.schemas import ITEM_KEY_FIELDS, TRANSACTION
+from fiscoframe.schemas import ITEM_KEY_FIELDS, TRANSACTION, VALUE_FIELDS
 from fiscoframe.sources.readers import read_inventory_items, read_invoice_items, read_ledger_items
 from fiscoframe.sources.tables import base_year, first_available
 
@@ -42,15 +42,28 @@ def with_item_key(df: DataFrame) -> DataFrame:
     return df.withColumn(KEY, item_key())
 
 
+def condense(rows: DataFrame) -> DataFrame:
+    """Sum transactions with the same raw item fields, unit and source.
+
+    A plain hash aggregation that reduces the lines on the map side, so that keys and
+    normalised texts are computed once per distinct item instead of once per line.
+    """
+    return rows.groupBy("cnpj", *ITEM_KEY_FIELDS, "unidade", "fonte").agg(
+        *[F.sum(name).alias(name) for name in VALUE_FIELDS],
+        F.min(F.col("ano").try_cast("int")).alias("ano"),
+        F.count(F.lit(1)).alias("ocorrencias"),
+    )
+
+
 def aggregate_items(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Group transactions by taxpayer and item key.
 
-    Sums and small sets are combined before the shuffle, so an item used in a large
+    Sums and small sets are combined before each shuffle, so an item used in a large
     share of all rows costs one partial row per task.
     """
     ledger_row = F.col("fonte").isin("C170", "bloco_h")
     grouped = (
-        with_item_key(rows)
+        with_item_key(condense(rows))
         .groupBy("cnpj", KEY)
         .agg(
             *[F.min(name).alias(name) for name in ITEM_KEY_FIELDS],
@@ -60,7 +73,7 @@ def aggregate_items(rows: DataFrame, files: DataFrame | None = None) -> DataFram
             F.sum("quantidade_saida").cast("double").alias("qtd_saidas"),
             sorted_distinct(F.nullif(F.col("unidade"), F.lit(""))).alias("lista_unidades"),
             sorted_distinct(F.col("fonte")).alias("fonte"),
-            F.min("ano").alias("ano"),
+            F.min("ano").cast("string").alias("ano"),
             F.max(ledger_row | F.col("ano").isNull()).alias("__uses_base_year"),
         )
     )

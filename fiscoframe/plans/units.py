@@ -16,11 +16,10 @@ from fiscoframe.operators.aggregates import (
     groups_with_several,
     largest_unit,
     longest,
-    mean_of_positive,
     with_group_size,
 )
 from fiscoframe.operators.versioning import latest
-from fiscoframe.plans.items import KEY, normalize_key_fields
+from fiscoframe.plans.items import KEY, condense, normalize_key_fields
 from fiscoframe.plans.products import with_normalized_description
 from fiscoframe.schemas import VALUE_FIELDS
 
@@ -31,11 +30,11 @@ MANUAL, AUTOMATIC = "manual", "automatico"
 
 def item_unit_totals(rows: DataFrame) -> DataFrame:
     """Amounts per item key (of the normalised fields) and unit."""
-    keyed = normalize_key_fields(rows).withColumn(KEY, item_key())
+    keyed = normalize_key_fields(condense(rows)).withColumn(KEY, item_key())
     return keyed.groupBy("cnpj", KEY, "unidade").agg(
         *[F.sum(name).alias(name) for name in VALUE_FIELDS],
         F.min("descricao").alias("descricao"),
-        F.count(F.lit(1)).alias("ocorrencias"),
+        F.sum("ocorrencias").alias("ocorrencias"),
     )
 
 
@@ -241,14 +240,30 @@ def review_order() -> list[Column]:
 
 
 def mean_unit_prices(movements: DataFrame) -> DataFrame:
-    """Mean of positive purchases and of positive sales per description and unit."""
-    rows = movements
-    if "descricao_normalizada" not in rows.columns:
-        rows = with_normalized_description(rows)
-    return rows.groupBy("cnpj", "descricao_normalizada", "unid").agg(
-        mean_of_positive(F.col("compras")).alias("preco_medio_compra"),
-        mean_of_positive(F.col("vendas")).alias("preco_medio_venda"),
-        F.count(F.lit(1)).alias("movimentos"),
+    """Mean of positive purchases and of positive sales per description and unit.
+
+    Lines are summed per raw description first, which is then normalised once.
+    """
+    raw = "descricao_normalizada" if "descricao_normalizada" in movements.columns else "descricao"
+
+    def parts(name: str) -> list[Column]:
+        positive = F.when(F.col(name) > 0, F.col(name))
+        return [F.sum(positive).alias(f"__sum_{name}"), F.count(positive).alias(f"__rows_{name}")]
+
+    partial = movements.groupBy("cnpj", raw, "unid").agg(
+        *parts("compras"), *parts("vendas"), F.count(F.lit(1)).alias("movimentos")
+    )
+    if raw == "descricao":
+        partial = with_normalized_description(partial)
+
+    def mean(name: str, out: str) -> Column:
+        total = F.sum(f"__sum_{name}").cast("double")
+        return F.coalesce(F.try_divide(total, F.sum(f"__rows_{name}").cast("double")), F.lit(0.0)).alias(out)
+
+    return partial.groupBy("cnpj", "descricao_normalizada", "unid").agg(
+        mean("compras", "preco_medio_compra"),
+        mean("vendas", "preco_medio_venda"),
+        F.sum("movimentos").alias("movimentos"),
     )
 
 

@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
