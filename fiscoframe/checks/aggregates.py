@@ -243,7 +243,7 @@ def d19(t):
 )
 def d20(t):
     rows = t["lineitem"].withColumn("v", F.when(F.col("l_linestatus") == "O", _price()).otherwise(F.lit(0)))
-    return ag.formatted_totals(rows, ["l_partkey"], "l_returnflag", "v", "totais")
+    return ag.formatted_totals(rows, ["l_partkey"], "l_returnflag", {"totais": "v"})
 
 
 @check(

@@ -8,6 +8,8 @@ row into (attribute, value) pairs.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,12 +188,20 @@ def conditional_sum(code: Column, codes: Sequence[str], amount: Column) -> Colum
     return F.sum(F.when(code.isin(*codes), F.coalesce(amount.cast(MEASURE), zero)).otherwise(zero))
 
 
-def formatted_totals(df: DataFrame, keys: Sequence[str], unit: str, value: str, name: str) -> DataFrame:
-    """``[unit; n]`` per unit with a positive total, cut to whole numbers, in unit order."""
-    totals = df.groupBy(*keys, unit).agg(F.sum(value).alias("__total")).where(F.col("__total") > 0)
-    text = F.concat(F.lit("["), F.col(unit), F.lit("; "), F.floor("__total").cast("string"), F.lit("]"))
-    entries = F.sort_array(F.collect_list(F.struct(F.col(unit).alias("u"), text.alias("t"))))
-    return totals.groupBy(*keys).agg(F.array_join(F.transform(entries, lambda e: e["t"]), "; ").alias(name))
+def formatted_totals(df: DataFrame, keys: Sequence[str], unit: str, totals: Mapping[str, str]) -> DataFrame:
+    """``[unit; n]`` per unit with a positive total, cut to whole numbers, in unit order.
+
+    ``totals`` maps result names to amount columns; all are built in one pass.
+    """
+    per_unit = df.groupBy(*keys, unit).agg(*[F.sum(value).alias(name) for name, value in totals.items()])
+    some = reduce(or_, [F.col(name) > 0 for name in totals])
+
+    def entries(name: str) -> Column:
+        text = F.concat(F.lit("["), F.col(unit), F.lit("; "), F.floor(name).cast("string"), F.lit("]"))
+        positive = F.when(F.col(name) > 0, F.struct(F.col(unit).alias("u"), text.alias("t")))
+        return F.array_join(F.transform(F.sort_array(F.collect_list(positive)), lambda e: e["t"]), "; ").alias(name)
+
+    return per_unit.where(some).groupBy(*keys).agg(*[entries(name) for name in totals])
 
 
 def parse_code_entry(entry: Column) -> tuple[Column, Column]:

@@ -49,7 +49,12 @@ def only_cfop(df: DataFrame, cfop: DataFrame | None) -> DataFrame:
 
 
 def outgoing(df: DataFrame) -> DataFrame:
-    """Rows of outgoing operations; accepts ``1`` as well as ``1 - SAIDA``."""
+    """Outgoing documents of the issuer; accepts ``1`` as well as ``1 - SAIDA``.
+
+    An extracted table holds a document once per party; only the issuer's row counts.
+    """
+    if "cnpj_filtro" in df.columns:
+        df = df.where(F.col("cnpj_filtro") == F.col("co_emitente"))
     kind = first_present(df, "tipo_operacao", "co_tp_nf", "tp_nf")
     return df if kind is None else df.where(F.substring(F.col(kind).cast("string"), 1, 1) == "1")
 

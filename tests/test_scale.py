@@ -97,3 +97,18 @@ def test_transport_roles_are_disjoint(tables):
 
 def test_label_tables_are_complete():
     assert sorted(GENUS) == [f"{i:02d}" for i in range(100)]
+
+
+def test_jobs_read_what_the_queries_extract(tables):
+    """The chain from registers to items, through the extracted tables."""
+    params = Params(cut_off="2000-06-30", today="2001-12-31")
+    names = ("nfe", "nfce", "c170", "bloco_h", "reg_0000")
+    extracted = {name: CATALOGUE[name].run(tables, params) for name in names}
+    rows = it.transactions(extracted)
+    sold = tables["invoice_lines"].where("co_tp_nf = 1")
+    assert rows.where("fonte in ('NFe', 'NFCe')").count() == sold.count()
+    assert rows.where("fonte = 'C170'").count() == extracted["c170"].count()
+    items = it.item_characteristics(rows, extracted["reg_0000"])
+    assert items.where("codigo is null or cnpj is null or ano = ''").isEmpty()
+    assert items.select("cnpj", it.KEY).distinct().count() == items.count()
+    assert items.groupBy("cnpj").agg(F.count_distinct("item_seq_id").alias("a"), F.count("*").alias("b")).where("a <> b").isEmpty()
