@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fiscoframe.session import ensure_checkpoint_dir
+from fiscoframe.session import stage
 
 _SLICE, _BEFORE, _ROWS = "__slice", "__before", "__rows"
 
@@ -27,20 +27,18 @@ def number_rows(
 ) -> DataFrame:
     """Add a gap-free 1..n number per group in the given total order.
 
-    The slice of each row is checkpointed, because the sampled range bounds must
+    The rows are stored with their slice, because the sampled range bounds must
     be the same for the rows and for the slice sizes even after a task is rerun.
     A group continues into a slice only if the previous one ended inside it, so
     at most one (group, slice) pair per slice needs a shift: the shift table has
     fewer rows than there are slices, whatever the data, and can be broadcast.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    slices = slices or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [F.col(c) for c in group]
-    ranged = (
-        df.repartitionByRange(slices, *[k.asc_nulls_last() for k in keys], *order)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .checkpoint()
+    ranged = stage(
+        df.repartitionByRange(slices, *[k.asc_nulls_last() for k in keys], *order).withColumn(
+            _SLICE, F.spark_partition_id()
+        )
     )
     sizes = ranged.groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias(_ROWS))
     earlier = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)

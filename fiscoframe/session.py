@@ -7,6 +7,7 @@ builder only exists so that tests, the bench and ad-hoc scripts agree.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +61,10 @@ def stage(df: DataFrame) -> DataFrame:
     """Hand a table to several later steps: stored once, lineage cut.
 
     Used where a step reads its input more than once and the input is not already a
-    stored table.  The copy is on shared storage, so losing executors loses nothing.
+    stored table.  The copy is a Parquet table below the shared checkpoint folder, so
+    losing executors loses nothing and later steps read only the columns they need.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
