@@ -12,7 +12,7 @@ from fiscoframe.operators.predicates import Condition
 from fiscoframe.plans.catalogue import extract
 from fiscoframe.plans.parameters import Params
 from fiscoframe.schemas import all_text, lower_names
-from fiscoframe.session import ensure_checkpoint_dir
+from fiscoframe.session import work_folder
 from fiscoframe.sources import sinks
 from fiscoframe.sources.readers import (
     import_factors,
@@ -30,7 +30,7 @@ from fiscoframe.sources.tables import base_year, by_precedence, for_taxpayer, li
 
 def _folder(df, label: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    return f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
 
 
 @check(

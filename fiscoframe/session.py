@@ -6,7 +6,6 @@ builder only exists so that tests, the bench and ad-hoc scripts agree.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,33 +37,37 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting one only where none is configured.
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: the checkpoint folder that the session names.
 
-    A machine-local folder is acceptable only when the whole session lives in one
-    process; on a cluster the folder has to be shared, so its absence is an error.
+    Where none is named, a folder below the warehouse, which all executors share as well.
     """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="fiscoframe-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder through Spark's own file system layer."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Hand a table to several later steps: stored once, lineage cut.
 
     Used where a step reads its input more than once and the input is not already a
-    stored table.  The copy is a Parquet table below the shared checkpoint folder, so
-    losing executors loses nothing and later steps read only the columns they need.
+    stored table.  The copy is a Parquet table below the shared work folder, so losing
+    executors loses nothing and later steps read only the columns they need.  The copy is
+    removed when the application ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the application ends; results that read it stay valid until then."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
