@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_words, map_slices, mix, ship, slices, spread, texts
+from .common import flat_words, mix, ship, slices, spread, texts
 from .quality import THRESHOLD, bounded_sample, held_out, labelled, sigmoid
 
 ship(__name__)
@@ -35,8 +35,9 @@ LEAST_DOCUMENTS = 6
 SAMPLE_PER_CLASS = {1: 1500, 0: 2500}
 SAMPLE_CHARS = 20_000
 #: Passes over the sample; a small sample gets more of them, so that there are LEAST_STEPS steps.
-EPOCHS, LEAST_STEPS, BATCH = 12, 500, 64
-BLOCK = 4096
+EPOCHS, LEAST_STEPS, BATCH = 8, 500, 64
+#: Windows that are run at once, and words whose gates a task remembers.
+BLOCK, REMEMBERED = 1024, 300_000
 
 
 def char_groups(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +81,12 @@ def window_table(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.array(owner, np.int64)
 
 
+def soft(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|) in place: the bounded activation of all layers; gates are (1 + soft(x)) / 2."""
+    x /= 1 + np.abs(x)
+    return x
+
+
 @dataclass
 class Network:
     """Parameters by name; words with an embedding by text."""
@@ -88,78 +95,96 @@ class Network:
     known: dict[str, int]
     scale: tuple[float, float, float] = (1.0, 0.0, 0.0)
 
-    def inputs(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Input vectors of distinct words and one empty word; what they are made of."""
-        plain = [bare(w) for w in words] + [""]
+    def inputs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Input vectors of distinct words; what they are made of."""
+        plain = [bare(w) for w in words]
         ids = np.fromiter((self.known.get(w, 0) for w in plain), np.int64, len(plain))
         groups, counts = char_groups(plain)
         chars = np.zeros((len(plain), CHAR_SIZE), np.float32)
         full = np.flatnonzero(counts)
         ends = np.cumsum(counts)
-        for part in np.array_split(full, max(1, len(groups) // 400_000)):
+        for part in np.array_split(full, max(1, len(groups) // 50_000)):
             if len(part):
                 a, b = ends[part[0]] - counts[part[0]], ends[part[-1]]
                 chars[part] = np.add.reduceat(self.p["chars"][groups[a:b]], ends[part] - counts[part] - a, axis=0)
         chars /= np.sqrt(np.maximum(1, counts))[:, None]
         return np.concatenate([self.p["words"][ids], chars], axis=1), ids, groups, counts
 
-    def gates(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return x @ self.p["Wf"].T + self.p["bf"], x @ self.p["Wb"].T + self.p["bb"]
+    def gates(self, x: np.ndarray) -> np.ndarray:
+        """What the words add to the gates of both directions: one row of 6 * HIDDEN numbers a word."""
+        return x @ np.concatenate([self.p["Wf"], self.p["Wb"]]).T + np.concatenate([self.p["bf"], self.p["bb"]])
 
-    def run(self, codes: np.ndarray, gates: tuple[np.ndarray, np.ndarray], keep: bool = False):
-        """Logits of windows (rows of codes); with ``keep`` also what the gradient needs."""
+    def run(self, codes: np.ndarray, gates: np.ndarray, empty: int, keep: bool = False):
+        """Logits of windows (rows of codes); with ``keep`` also what the gradient needs.
+
+        Arrays hold a feature a row and a window a column, so that slices by feature stay contiguous.
+        """
         n, h = len(codes), HIDDEN
-        states = np.empty((SPAN, n, 2 * h), np.float32)
+        states = np.empty((SPAN, 2 * h, n), np.float32)
         kept = {}
+        steps = np.ascontiguousarray(codes.T)
         for side, name in enumerate("fb"):
-            u, g = self.p["U" + name].T, gates[side]
-            state = np.zeros((n, h), np.float32)
+            u, g = self.p["U" + name], gates[:, 3 * h * side : 3 * h * (side + 1)]
+            state = np.zeros((h, n), np.float32)
             for t in range(SPAN) if side == 0 else range(SPAN - 1, -1, -1):
-                into = g[codes[:, t]]
-                back = state @ u
-                zr = into[:, : 2 * h] + back[:, : 2 * h]
-                zr *= 0.5
-                np.tanh(zr, out=zr)
+                into = np.ascontiguousarray(g[steps[t]].T)
+                back = u @ state
+                zr = into[: 2 * h]
+                zr += back[: 2 * h]
+                soft(zr)
                 zr *= 0.5
                 zr += 0.5
-                z, r = zr[:, :h], zr[:, h:]
-                new = r * back[:, 2 * h :]
-                new += into[:, 2 * h :]
-                np.tanh(new, out=new)
+                z, r = zr[:h], zr[h:]
+                new = r * back[2 * h :]
+                new += into[2 * h :]
+                soft(new)
                 if keep:
-                    kept[name, t] = (state, z, r, new, back[:, 2 * h :])
-                state = new + z * (state - new)
-                states[t, :, side * h : (side + 1) * h] = state
-        u = np.tanh(states @ self.p["Wa"].T + self.p["ba"])
-        score = u @ self.p["va"]
-        score[codes.T == self.empty] = -1e9
-        score[0, (codes == self.empty).all(axis=1)] = 0
+                    kept[name, t] = (state, z, r, new, back[2 * h :])
+                state = state - new
+                state *= z
+                state += new
+                states[t, side * h : (side + 1) * h] = state
+        u = self.p["Wa"] @ states
+        u += self.p["ba"][:, None]
+        soft(u)
+        score = np.einsum("a,tan->tn", self.p["va"], u)
+        absent = steps == empty
+        score[absent] = -1e9
+        score[0, absent.all(axis=0)] = 0
         score -= score.max(axis=0)
         np.exp(score, out=score)
         score /= score.sum(axis=0)
-        pooled = np.einsum("tn,tnh->nh", score, states)
-        logit = pooled @ self.p["wo"] + self.p["bo"][0]
+        pooled = np.einsum("tn,thn->hn", score, states)
+        logit = self.p["wo"] @ pooled + self.p["bo"][0]
         return (logit, states, kept, u, score, pooled) if keep else logit
 
-    empty = -1
-
-    def logits(self, codes: np.ndarray, distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Logits of all windows; ``at`` are positions in ``codes``."""
-        x, *_ = self.inputs(distinct)
-        gates = self.gates(x)
-        self.empty = len(distinct)
-        padded = np.append(codes, self.empty)
-        return np.concatenate([self.run(padded[at[a : a + BLOCK]], gates) for a in range(0, len(at), BLOCK)])
-
-    def worst(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def logits(self, codes: np.ndarray, gates: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Logits of all windows; ``at`` are positions in ``codes``, the last row of ``gates`` is the empty word's."""
+        empty = len(gates) - 1
+        padded = np.append(codes, empty)
+        return np.concatenate([self.run(padded[at[a : a + BLOCK]], gates, empty) for a in range(0, len(at), BLOCK)])
+
+    def of_words(self, distinct: np.ndarray, memory: dict) -> np.ndarray:
+        """Gates of distinct words and of the empty word; ``memory`` holds those of words met before."""
+        if len(memory.get("rows", ())) + len(distinct) > REMEMBERED:
+            memory.clear()
+        places, rows = memory.setdefault("places", {}), memory.get("rows")
+        if new := [w for w in [*distinct, ""] if w not in places]:
+            made = self.gates(self.inputs(new)[0])
+            base = len(places)
+            places.update((w, base + i) for i, w in enumerate(new))
+            memory["rows"] = rows = made if rows is None else np.concatenate([rows, made])
+        return rows[np.fromiter((places[w] for w in [*distinct, ""]), np.int64, len(distinct) + 1)]
+
+    def worst(self, batch: list[str], memory: dict) -> tuple[np.ndarray, np.ndarray]:
         """Largest window logit and number of windows of every text."""
         codes, distinct, offsets = flat_words([t.lower().split() for t in batch])
         at, owner = window_table(offsets)
-        logit = self.logits(codes, distinct, at)
+        logit = self.logits(codes, self.of_words(distinct, memory), at)
         return np.maximum.reduceat(logit, np.flatnonzero(np.diff(owner, prepend=-1))), np.bincount(owner)
 
-    def scores(self, batch: list[str]) -> np.ndarray:
-        logit, n = self.worst(batch)
+    def scores(self, batch: list[str], memory: dict | None = None) -> np.ndarray:
+        logit, n = self.worst(batch, {} if memory is None else memory)
         a, b, c = self.scale
         return sigmoid(a * logit.astype(np.float64) + b + c * np.log(n))
 
@@ -179,40 +204,39 @@ def fresh(known: dict[str, int], seed: int) -> Network:
     return Network(p, known)
 
 
-def gradient(net: Network, codes: np.ndarray, words: np.ndarray, label: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradient of the weighted log loss over windows; ``codes`` index ``words``, the last one is the empty word."""
+def gradient(net: Network, codes: np.ndarray, words: list[str], label: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradient of the log loss over windows; ``codes`` index ``words``, the last one is the empty word."""
     h, p = HIDDEN, net.p
     x, ids, groups, counts = net.inputs(words)
-    gates = net.gates(x)
-    net.empty = len(words)
-    logit, states, kept, u, score, pooled = net.run(codes, gates, keep=True)
-    d = ((sigmoid(logit) - label) * weight / len(label)).astype(np.float32)
-    g = {"wo": pooled.T @ d, "bo": np.array([d.sum()], np.float32)}
-    dpooled = d[:, None] * p["wo"]
-    dscore = np.einsum("nh,tnh->tn", dpooled, states)
+    logit, states, kept, u, score, pooled = net.run(codes, net.gates(x), len(words) - 1, keep=True)
+    d = ((sigmoid(logit) - label) / len(label)).astype(np.float32)
+    g = {"wo": pooled @ d, "bo": np.array([d.sum()], np.float32)}
+    dpooled = p["wo"][:, None] * d
+    dscore = np.einsum("hn,thn->tn", dpooled, states)
     ds = score * (dscore - (score * dscore).sum(axis=0))
-    du = ds[:, :, None] * p["va"] * (1 - u * u)
-    g["va"] = np.einsum("tn,tna->a", ds, u)
-    flat = du.reshape(-1, ATTENTION)
-    g["Wa"], g["ba"] = flat.T @ states.reshape(-1, 2 * h), flat.sum(axis=0)
-    dstates = score[:, :, None] * dpooled + du @ p["Wa"]
-    dx = np.zeros_like(x)
+    du = ds[:, None, :] * p["va"][:, None] * (1 - np.abs(u)) ** 2
+    g["va"] = np.einsum("tn,tan->a", ds, u)
+    g["Wa"], g["ba"] = np.einsum("tan,thn->ah", du, states), du.sum(axis=(0, 2))
+    dstates = score[:, None, :] * dpooled + p["Wa"].T @ du
+    into = np.zeros((len(words), 6 * h), np.float32)
     for side, name in enumerate("fb"):
-        into = np.zeros((len(x), 3 * h), np.float32)
         dU = np.zeros_like(p["U" + name])
-        carry = np.zeros((len(codes), h), np.float32)
+        carry = np.zeros((h, len(codes)), np.float32)
         for t in range(SPAN - 1, -1, -1) if side == 0 else range(SPAN):
             before, z, r, new, back = kept[name, t]
-            dh = dstates[t, :, side * h : (side + 1) * h] + carry
-            dz = dh * (before - new) * z * (1 - z)
-            dn = dh * (1 - z) * (1 - new * new)
-            dr = dn * back * r * (1 - r)
-            da = np.concatenate([dz, dr, dn * r], axis=1)
-            np.add.at(into, codes[:, t], np.concatenate([dz, dr, dn], axis=1))
-            dU += da.T @ before
-            carry = dh * z + da @ p["U" + name]
-        g["U" + name], g["W" + name], g["b" + name] = dU, into.T @ x, into.sum(axis=0)
-        dx += into @ p["W" + name]
+            dh = dstates[t, side * h : (side + 1) * h] + carry
+            dz = dh * (before - new) * 0.5 * (1 - np.abs(2 * z - 1)) ** 2
+            dn = dh * (1 - z) * (1 - np.abs(new)) ** 2
+            dr = dn * back * 0.5 * (1 - np.abs(2 * r - 1)) ** 2
+            da = np.concatenate([dz, dr, dn * r])
+            np.add.at(into[:, 3 * h * side : 3 * h * (side + 1)], codes[:, t], np.concatenate([dz, dr, dn]).T)
+            dU += da @ before.T
+            carry = dh * z + p["U" + name].T @ da
+        g["U" + name] = dU
+    weights = into.T @ x
+    g["Wf"], g["Wb"], bias = weights[: 3 * h], weights[3 * h :], into.sum(axis=0)
+    g["bf"], g["bb"] = bias[: 3 * h], bias[3 * h :]
+    dx = into @ np.concatenate([p["Wf"], p["Wb"]])
     g["words"] = np.zeros_like(p["words"])
     np.add.at(g["words"], ids, dx[:, :WORD_SIZE])
     g["words"][0] = 0
@@ -270,9 +294,11 @@ def fit(batch: list[str], label: np.ndarray, weight: np.ndarray, seed: int = 11,
     look = looks[padded[at]].max(axis=1)
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
+    logit = look
     epochs = min(80, max(EPOCHS, LEAST_STEPS * BATCH // max(1, len(fitted))))
     for epoch in range(epochs):
-        logit = look if epoch < epochs // 3 else net.logits(codes, distinct, at)
+        if epoch >= epochs // 3 and epoch % max(2, epochs // 4) == 0:
+            logit = net.logits(codes, net.of_words(distinct, {}), at)
         chosen, owner_of = [], []
         for i in fitted:
             a, b = first[i], last[i]
@@ -291,10 +317,9 @@ def fit(batch: list[str], label: np.ndarray, weight: np.ndarray, seed: int = 11,
             if used[-1] == len(distinct):
                 used = used[:-1]
             own = np.where(rows == len(distinct), len(used), back)
-            words = distinct[used].copy()
-            words[rng.random(len(words)) < 0.15] = "\x02"  # some words are not seen, so that no single one decides
+            words = [*distinct[used], ""]
             y = label[owner_of[piece]].astype(np.float32)
-            grads = gradient(net, own, words, y, np.ones(len(y), np.float32))
+            grads = gradient(net, own, words, y)
             speed = rate * (1 if epoch < epochs * 2 // 3 else 0.3)
             for k, g in grads.items():
                 g = g + (1e-4 * net.p[k] if k in ("words", "chars") else 0)
@@ -304,7 +329,7 @@ def fit(batch: list[str], label: np.ndarray, weight: np.ndarray, seed: int = 11,
                 v *= 0.99
                 v += 0.01 * g * g
                 net.p[k] -= (speed * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    logit = net.logits(codes, distinct, at)
+    logit = net.logits(codes, net.of_words(distinct, {}), at)
     worst = np.maximum.reduceat(logit, first)
     net.scale = calibrated(worst[checked], np.log(last - first)[checked], label[checked], weight[checked])
     return net
@@ -316,10 +341,17 @@ def calibrated(worst: np.ndarray, length: np.ndarray, label: np.ndarray, weight:
     theta = np.array([1.0, 0.0, 0.0])
     prior = np.array([1.0, 0.0, 0.0])
     ridge = np.diag([0.5, 0.05, 2.0])
+    def loss(theta):
+        z = x @ theta
+        return (weight * (np.logaddexp(0, z) - label * z)).sum() + (theta - prior) @ ridge @ (theta - prior) / 2
+
     for _ in range(25):
         q = sigmoid(x @ theta)
         slope = x.T @ (weight * (q - label)) + ridge @ (theta - prior)
-        theta -= np.linalg.solve((x * (weight * q * (1 - q))[:, None]).T @ x + ridge, slope)
+        step = np.linalg.solve((x * (weight * q * (1 - q))[:, None]).T @ x + ridge, slope)
+        while loss(theta - step) > loss(theta) and np.abs(step).max() > 1e-9:
+            step /= 2
+        theta -= step
     return max(float(theta[0]), 0.05), float(theta[1]), float(theta[2])
 
 
@@ -344,13 +376,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        net = shared.value
-        score = np.full(piece.num_rows, net) if isinstance(net, float) else net.scores(piece.column("text").to_pylist())
-        return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
+    def run(batches):
+        net, memory = shared.value, {}
+        for piece in slices(batches, most=2_000_000):
+            score = np.full(piece.num_rows, net) if isinstance(net, float) else net.scores(piece.column("text").to_pylist(), memory)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
-    result = map_slices(texts(docs), work, "doc_id long, score double")
+    result = texts(docs).mapInArrow(run, "doc_id long, score double")
     return result.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-
-__all__ = ["Network", "fit", "slices", "toxicity", "train"]
