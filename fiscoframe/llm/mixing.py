@@ -7,8 +7,8 @@ multipliers solve a convex dual.  Newton iterations find them: each one is an
 aggregate over the stored histogram of (source, size), kept inside a bracket.
 
 Rates become copies without drift: within a source, from large sizes to small ones, each size class gets
-the whole number of further copies that brings the words taken nearest to the words due; inside a class the
-documents with the smallest hashes of their ids are taken once more.  A source's
+the whole number of copies that brings the words taken nearest to the words due; inside a class the
+documents with the smallest hashes of their ids are taken once more than the others.  A source's
 words differ from its target by about one short document at most.
 
 A null text has size 0; sizes of 0 are never repeated and count for nothing.  Null sources
@@ -101,23 +101,24 @@ def solve(spark: SparkSession, histogram: DataFrame, sources: list[dict]) -> dic
 
 
 def whole_numbers(classes: pd.DataFrame) -> pd.DataFrame:
-    """How many rows of each size class of one source are taken once more.
+    """Copies of each size class of one source: how many all its rows get, and how many of them one more.
 
-    Largest sizes first, each class gets the number that brings the words taken so far nearest to the
-    words due so far, so that small texts even out what large ones leave.  One row for each
+    Largest sizes first, each class gets the number of copies that brings the words taken so far nearest
+    to the words due so far, so that small texts even out what large ones leave.  One row for each
     different size, however many documents there are.
     """
     classes = classes.sort_values("size", ascending=False)
     due = taken = 0
-    more = []
-    for size, rows, part in zip(classes["size"].tolist(), classes["rows"].tolist(), classes["part"].tolist(), strict=True):
-        due += size * rows * part
-        k = 0
+    copies = []
+    for size, rows, micro in zip(classes["size"].tolist(), classes["rows"].tolist(), classes["micro"].tolist(), strict=True):
+        due += size * rows * micro
+        k = rows
         if size:
-            k = min(rows if part else 0, max(0, (due - taken + size * 500_000) // (size * 1_000_000)))
+            k = min(MOST * rows, max(0, (due - taken + size * 500_000) // (size * 1_000_000)))
             taken += k * size * 1_000_000
-        more.append(k)
-    classes["more"] = more
+        copies.append(k)
+    classes["base"] = [k // n for k, n in zip(copies, classes["rows"], strict=True)]
+    classes["more"] = [k % n for k, n in zip(copies, classes["rows"], strict=True)]
     return classes[["number", "size", "rows", "base", "more"]]
 
 
@@ -146,8 +147,7 @@ def planned(rows: DataFrame, source: str = "source", key: str = "doc_id", text:
     rate = F.exp(F.least(F.col("at") * F.col("size") / F.col("mean"), F.lit(math.log(MOST))))
     micro = F.when(F.col("size") > 0, F.round(rate * 1_000_000).cast("long")).otherwise(F.lit(1_000_000))
     classes = histogram.join(F.broadcast(at), "number").withColumn("micro", micro)
-    classes = classes.withColumn("base", F.floor(F.col("micro") / 1_000_000).cast("long"))
-    classes = classes.select("number", "size", "rows", "base", (F.col("micro") - F.col("base") * 1_000_000).alias("part"))
+    classes = classes.select("number", "size", "rows", "micro")
     schema = "number int, size long, rows long, base long, more long"
     classes = stage(classes.groupBy("number").applyInPandas(whole_numbers, schema))
 
