@@ -8,8 +8,8 @@ from fiscoframe.plans.border import GOODS_ATTRIBUTES
 from fiscoframe.plans.catalogue import CATALOGUE
 from fiscoframe.plans.parameters import Params
 
-CUT_OFF = "2000-06-30"
-PARAMS = Params(cut_off=CUT_OFF, start="1996-01-01", end="1999-12-31", today="2001-12-31")
+CUT_OFF, TODAY = "2000-06-30", "2001-12-31"
+PARAMS = Params(cut_off=CUT_OFF, start="1996-01-01", end="1999-12-31", today=TODAY)
 
 
 def _files(where: str = "") -> str:
@@ -247,7 +247,7 @@ _audit(
               UNION ALL {_CTE.format("d", "Destinatário", "e <> d AND r <> d")} UNION ALL {_CTE.format("t", "Tomador", "e <> t AND r <> t AND d <> t")})""",
 )
 
-_START, _END = "t.da_inicio_atividade", f"CASE WHEN t.in_situacao = '001' THEN DATE '{CUT_OFF}' ELSE CAST(strptime(h.d, '%Y%m%d') AS DATE) END"
+_START, _END = "t.da_inicio_atividade", f"CASE WHEN t.in_situacao = '001' THEN DATE '{TODAY}' ELSE CAST(strptime(h.d, '%Y%m%d') AS DATE) END"
 _MONTHS = """CASE WHEN day(a) = day(b) OR (a = last_day(a) AND b = last_day(b)) THEN CAST((year(b) - year(a)) * 12 + month(b) - month(a) AS DOUBLE)
              ELSE CAST((year(b) - year(a)) * 12 + month(b) - month(a) AS DOUBLE) + (day(b) - day(a)) / 31.0 END"""
 _audit(

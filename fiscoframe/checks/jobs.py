@@ -13,7 +13,7 @@ from fiscoframe.plans import merge as mg
 from fiscoframe.plans import products as pr
 from fiscoframe.plans import units
 from fiscoframe.session import stage
-from fiscoframe.sources.reference import classification_tables, marked_cfop
+from fiscoframe.sources.reference import MERCANTILE, STOCK_AUDIT, classification_tables, marked_cfop
 
 _ALLOWED = "(SELECT co_cfop FROM {dm_cfop} WHERE operacao_mercantil = 'X')"
 _NET = "prod_vprod + coalesce(prod_vfrete, 0) + coalesce(prod_vseg, 0) + coalesce(prod_voutro, 0) - coalesce(prod_vdesc, 0)"
@@ -28,6 +28,8 @@ def _invoice_sql(table: str, source: str) -> str:
 _DOCUMENTS_SQL = f"""{_invoice_sql("nfe", "NFe")} UNION ALL {_invoice_sql("nfce", "NFCe")}
     UNION ALL SELECT cnpj, cod_item, descr_item, descr_compl, tipo_item, cod_ncm, cest, cod_barra, unid, 'C170', CASE ind_oper WHEN '0' THEN vl_item ELSE 0 END,
       CASE ind_oper WHEN '1' THEN vl_item ELSE 0 END, CASE ind_oper WHEN '0' THEN qtd ELSE 0 END, CASE ind_oper WHEN '1' THEN qtd ELSE 0 END, NULL FROM {{c170}} WHERE cfop IN {_ALLOWED}"""
+# Totals of products are over the lines whose operation counts in stock audits.
+_AUDITED_SQL = _DOCUMENTS_SQL.replace("operacao_mercantil = 'X'", "sisaudit_estoque = 'X'")
 _TRANSACTIONS_SQL = f"""{_DOCUMENTS_SQL}
     UNION ALL SELECT cnpj, codigo_produto, descricao_produto, NULL, tipo_item, cod_ncm, cest, cod_barra, unidade_medida, 'bloco_h', 0, 0, 0, 0, NULL FROM {{bloco_h}}"""
 
@@ -40,6 +42,8 @@ _ITEMS_SQL = f"""
       SELECT cnpj, {_KEY_SQL} AS chave, {", ".join(f"min({f}) AS {f}" for f in _FIELDS)}, SUM(ve) AS te, SUM(vs) AS ts, SUM(qe) AS qe, SUM(qs) AS qs,
              list_sort(list_distinct(list(unidade))) AS unidades, list_sort(list_distinct(list(fonte))) AS fontes, min(ano) AS ano, bool_or(fonte IN ('C170', 'bloco_h')) AS ledger
       FROM ({_TRANSACTIONS_SQL}) GROUP BY cnpj, {_KEY_SQL}) JOIN {_YEAR_SQL} ON yk = cnpj"""
+# A line counts for the item with its key, if the item table has that item.
+_COUNTED_SQL = f"""SELECT * FROM (SELECT *, {_KEY_SQL} AS chave_linha FROM ({_AUDITED_SQL})) WHERE (cnpj, chave_linha) IN (SELECT (cnpj, chave) FROM ({_ITEMS_SQL}))"""
 _N = "upper(strip_accents(trim({})))"
 _NORMAL_SQL = f"""
     SELECT cnpj, chave, codigo, CASE WHEN ltrim(codigo, '0') = '' THEN '0' ELSE ltrim(codigo, '0') END AS cod_normalizado, {_N.format("descricao")} AS descricao,
@@ -56,8 +60,8 @@ def _cfop(t):
     return marked_cfop(t["dm_cfop"])
 
 
-def _documents(t):
-    return it.transactions(t, _cfop(t), inventory=False)
+def _documents(t, flag=MERCANTILE):
+    return it.transactions(t, marked_cfop(t["dm_cfop"], flag), inventory=False)
 
 
 def _items(t):
@@ -317,7 +321,7 @@ _PRICES = "pe AS preco_medio_entrada, ps AS preco_medio_saida"
 def _base(t):
     items = _stored_items(t)
     products = ds.consolidated_products(ds.descriptions_v2(it.normalize_items(items)))
-    return stage(units.conversion_base(_documents(t), products, items))
+    return units.conversion_base(_documents(t), products, items)
 
 
 @check(
@@ -436,6 +440,46 @@ def i16(t):
     return changed.select("cnpj", "descricao", "chave_produto", "total_entradas", "total_saidas", "verificado")
 
 
+_MERGED_TOTALS = """LEFT JOIN (SELECT m.cnpj AS {c}_c, m.chave AS {c}_k, string_agg(concat('[', unidade, '; ', CAST(floor(v) AS BIGINT), ']'), '; ' ORDER BY unidade) AS {c} FROM
+      (SELECT k.cnpj, k.chave, d.unidade, SUM(d.{v}) AS v FROM k JOIN (SELECT cnpj, {n} AS descricao, unidade, SUM(ve) AS ve, SUM(vs) AS vs FROM ({lines}) GROUP BY 1, 2, 3) d
+         ON d.cnpj = k.cnpj AND d.descricao = k.descricao GROUP BY 1, 2, 3) m WHERE v > 0 GROUP BY 1, 2) ON {c}_c = g.cnpj AND {c}_k = g.chave"""
+
+
+def _merged_totals(name: str, column: str) -> str:
+    return _MERGED_TOTALS.format(c=name, v=column, n=_N.format("descricao"), lines=_COUNTED_SQL)
+
+
+_KEYED_SQL = f"""{_MERGE_SQL}, k AS MATERIALIZED (SELECT r.cnpj, r.descricao, r.grupo, r.n, CASE WHEN n = 1 THEN r.chave ELSE md5(s.chaves) END AS chave FROM r
+      JOIN (SELECT cnpj, grupo, string_agg(chave, '' ORDER BY chave) AS chaves FROM r GROUP BY 1, 2) s ON s.cnpj = r.cnpj AND s.grupo = r.grupo),
+    g AS (SELECT cnpj, chave, min(descricao) AS descricao, count(*) AS n FROM k GROUP BY 1, 2)"""
+
+
+def _merged(t):
+    items = _stored_items(t)
+    editable = mg.editable_table(ds.descriptions(it.normalize_items(items)))
+    editable = stage(editable)
+    assignment = editable.select("cnpj", F.substring("descricao", 1, 1).alias("grupo"), "chave_produto")
+    return mg.merge_and_total(editable, assignment, _documents(t, STOCK_AUDIT), items, "2024-01-02T03:04:05")
+
+
+@check(
+    "I16_merge_with_totals",
+    f"""{_KEYED_SQL} SELECT g.cnpj, g.chave AS chave_produto, g.descricao, coalesce(e, '') AS tot_v_entradas, coalesce(s, '') AS tot_v_saidas
+        FROM g {_merged_totals("e", "ve")} {_merged_totals("s", "vs")}""",
+)
+def i16_totals(t):
+    return _merged(t)[0].select("cnpj", "chave_produto", "descricao", "tot_v_entradas", "tot_v_saidas")
+
+
+@check(
+    "I16_merge_log",
+    f"""{_KEYED_SQL} SELECT '2024-01-02T03:04:05' AS timestamp, g.cnpj, g.chave AS chave_produto, g.descricao, coalesce(e, '') AS tot_v_entradas, coalesce(s, '') AS tot_v_saidas,
+          g.n AS itens_unificados FROM g {_merged_totals("e", "ve")} {_merged_totals("s", "vs")} WHERE g.n > 1""",
+)
+def i16_log(t):
+    return _merged(t)[1].select("timestamp", "cnpj", "chave_produto", "descricao", "tot_v_entradas", "tot_v_saidas", "itens_unificados")
+
+
 def _row_mode(column: str, name: str) -> str:
     return f"""LEFT JOIN (SELECT cnpj AS c_{name}, descricao AS d_{name}, first(v ORDER BY n DESC, {_natural("v")}) AS {name} FROM
         (SELECT cnpj, descricao, {column} AS v, count(*) AS n FROM x WHERE {column} <> '' GROUP BY 1, 2, 3) GROUP BY 1, 2) ON c_{name} = p.cnpj AND d_{name} = p.descricao"""
@@ -455,7 +499,7 @@ def i17(t):
 
 def _totals_sql(column: str) -> str:
     return f"""(SELECT cnpj, descricao, string_agg(concat('[', unidade, '; ', CAST(floor(v) AS BIGINT), ']'), '; ' ORDER BY unidade) AS texto FROM
-        (SELECT cnpj, {_N.format("descricao")} AS descricao, unidade, SUM({column}) AS v FROM ({_DOCUMENTS_SQL}) GROUP BY 1, 2, 3) WHERE v > 0 GROUP BY 1, 2)"""
+        (SELECT cnpj, {_N.format("descricao")} AS descricao, unidade, SUM({column}) AS v FROM ({_COUNTED_SQL}) GROUP BY 1, 2, 3) WHERE v > 0 GROUP BY 1, 2)"""
 
 
 @check(
@@ -467,7 +511,7 @@ def _totals_sql(column: str) -> str:
 def i18(t):
     items = _stored_items(t)
     editable = mg.editable_table(ds.descriptions(it.normalize_items(items)))
-    out = mg.with_value_totals(editable, _documents(t), items)
+    out = mg.with_value_totals(editable, _documents(t, STOCK_AUDIT), items)
     return out.select("cnpj", "chave_produto", "tot_v_entradas", "tot_v_saidas")
 
 
@@ -510,7 +554,7 @@ def i21(t):
 @check(
     "I22_price_volatility",
     """SELECT CAST(l_partkey AS VARCHAR) AS chave_produto, l_returnflag AS unidade, count(*) AS movimentos, round(stddev_samp(l_discount) / avg(l_discount), 6) AS coef_variacao,
-         coalesce(stddev_samp(l_discount) / avg(l_discount) > 0.5, false) AS volatil FROM lineitem GROUP BY 1, 2""",
+         coalesce(stddev_samp(l_discount) / avg(l_discount) > 0.51, false) AS volatil FROM lineitem GROUP BY 1, 2""",
 )
 def i22(t):
     rows = t["lineitem"].select(
@@ -519,7 +563,7 @@ def i22(t):
         F.col("l_returnflag").alias("unidade"),
         F.col("l_discount").alias("preco"),
     )
-    out = units.price_volatility(rows, 0.5)
+    out = units.price_volatility(rows, 0.51)
     return out.select("chave_produto", "unidade", "movimentos", F.round("coef_variacao", 6).alias("coef_variacao"), "volatil")
 
 

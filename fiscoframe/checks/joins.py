@@ -238,7 +238,7 @@ def unit_base(t):
 )
 def c14(t):
     base = unit_base(t)
-    joined = base.join(units.reference_prices(base), units.PRODUCT)
+    joined = units.with_reference(base)
     return joined.select("chave_produto", "unidade", "unid_ref", "preco_ref_ent", "preco_ref_sai")
 
 

@@ -161,7 +161,7 @@ _FACTOR = """CASE WHEN unidade = coalesce(unid_ref, 'A') THEN 1.0 WHEN re > 0 AN
 
 def _factors(t):
     base = unit_base(t)
-    return base.join(units.reference_prices(base), units.PRODUCT)
+    return units.with_reference(base)
 
 
 @check("H13_unit_factor", f"SELECT chave_produto, unidade, {_FACTOR} AS fator FROM ({REF_SQL})")
@@ -256,6 +256,20 @@ def h19_months(t):
     return t["dm_pessoa"].select("co_cnpj_cpf", months.cast("double").alias("meses"))
 
 
+_PAGE = "".join(text._windows_1252())
+
+
+@check(
+    "H20_code_page",
+    f"""SELECT doc_id, array_to_string(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) < 128 THEN c ELSE
+          concat(chr(CAST(192 + unicode(c) // 64 AS INTEGER)), CASE WHEN unicode(c) % 64 < 32 THEN substr('{_PAGE}', CAST(unicode(c) % 64 + 1 AS INTEGER), 1)
+          ELSE chr(CAST(128 + unicode(c) % 64 AS INTEGER)) END) END), '') AS lido FROM documents WHERE NOT regexp_matches(text, '[^\\x{{0}}-\\x{{7FF}}]')""",
+)
+def h20_code_page(t):
+    docs = t["documents"].where(~F.col("text").rlike("[^\\x{0}-\\x{7FF}]"))
+    return docs.select("doc_id", text.read_as_windows_1252(F.col("text")).alias("lido"))
+
+
 @check(
     "H20_text_functions",
     """SELECT id, regexp_replace(ltrim(cod_item, '0'), '[ .-]', '', 'g') AS cod, upper(descr_item) NOT LIKE 'SM%' AS outro, rtrim(concat(descr_item, '  ')) AS d,

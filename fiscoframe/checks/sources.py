@@ -150,6 +150,21 @@ def a08(t):
     return _unique(t["sitafe_cest_ncm"], ["it_nu_ncm", "it_nu_cest"], "it_co_sefin")
 
 
+@check("A08_codes_by_cest", "SELECT cest, MIN(`co-sefin`) AS codigo FROM {sitafe_cest} WHERE cest IS NOT NULL GROUP BY cest")
+def a08_cest(t):
+    return _unique(t["sitafe_cest"].withColumnRenamed("co-sefin", "codigo"), ["cest"], "codigo")
+
+
+@check("A08_codes_by_ncm", "SELECT ncm, MIN(`co-sefin`) AS codigo FROM {sitafe_ncm} WHERE ncm IS NOT NULL GROUP BY ncm")
+def a08_ncm(t):
+    return _unique(t["sitafe_ncm"].withColumnRenamed("co-sefin", "codigo"), ["ncm"], "codigo")
+
+
+@check("A08_product_names", "SELECT it_co_sefin, MIN(it_no_produto) AS it_no_produto FROM {sitafe_produto_sefin} WHERE it_co_sefin IS NOT NULL GROUP BY it_co_sefin")
+def a08_names(t):
+    return _unique(t["sitafe_produto_sefin"], ["it_co_sefin"], "it_no_produto")
+
+
 @check(
     "A09_base_year",
     "SELECT CAST(o_custkey AS VARCHAR) AS cnpj, CAST(MIN(year(o_orderdate)) AS VARCHAR) AS ano_base FROM orders GROUP BY o_custkey",
@@ -221,7 +236,20 @@ def a14(t):
 def a14_partitioned(t):
     path = _folder(t["customer"], "partitioned")
     sinks.write_table(t["customer"].select("c_custkey", "c_acctbal", "c_mktsegment"), path, partition="c_mktsegment")
-    return t["customer"].sparkSession.read.parquet(path)
+    return sinks.read_table(t["customer"].sparkSession, path)
+
+
+@check(
+    "A14_one_key_of_a_table",
+    "SELECT c_mktsegment, c_custkey, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'",
+)
+def a14_one_key(t):
+    path = _folder(t["customer"], "keyed")
+    rows = t["customer"].select("c_custkey", "c_acctbal", "c_mktsegment")
+    # what is stored first is replaced key by key
+    sinks.write_table(rows.withColumn("c_acctbal", F.lit(0.0)), path, partition="c_mktsegment")
+    sinks.write_table(rows.where(F.col("c_mktsegment") == "BUILDING"), path, partition="c_mktsegment")
+    return sinks.read_table(rows.sparkSession, path, "BUILDING", "c_mktsegment")
 
 
 @check("A15_lower_names", "SELECT p_partkey AS chave_x, p_name AS nome FROM part")
@@ -319,3 +347,13 @@ def a19_display(t):
 def a20(t):
     conditions = [Condition("c_acctbal", ">", "100,5"), Condition("c_mktsegment", "contém", "BUILD")]
     return sinks.export_dataset(t["customer"], "visible", conditions, ["c_custkey", "c_name", "c_acctbal", "nope"])
+
+
+@check("A20_export_filtered", f"SELECT c_custkey, c_name, c_nationkey, {dbl('c_acctbal')}, c_mktsegment FROM customer WHERE c_acctbal > 100.5")
+def a20_filtered(t):
+    return sinks.export_dataset(t["customer"], "filtered", [Condition("c_acctbal", ">", "100,5")], ["c_name"])
+
+
+@check("A20_export_full", f"SELECT c_custkey, c_name, c_nationkey, {dbl('c_acctbal')}, c_mktsegment FROM customer")
+def a20_full(t):
+    return sinks.export_dataset(t["customer"], "full", [Condition("c_acctbal", ">", "100,5")], ["c_name"])

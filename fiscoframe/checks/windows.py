@@ -8,7 +8,7 @@ from fiscoframe.checks import check, dbl
 from fiscoframe.functions.text import natural_key
 from fiscoframe.operators import sets
 from fiscoframe.operators.aggregates import with_distinct_count, with_group_size
-from fiscoframe.operators.paging import get_page, last_rows, page_rows
+from fiscoframe.operators.paging import get_page, page_total, last_rows, page_rows
 from fiscoframe.operators.predicates import Condition
 from fiscoframe.operators.ranking import number_rows, numbered_id
 from fiscoframe.operators.versioning import (
@@ -187,8 +187,12 @@ def f03(t):
     "SELECT count(*) AS total FROM part WHERE p_size >= 10",
 )
 def f03_total(t):
-    page = get_page(t["part"], [Condition("p_size", ">=", "10")], ["p_partkey"])
-    return page.rows.select(F.lit(page.total_rows).cast("bigint").alias("total")).distinct()
+    return page_total(t["part"], [Condition("p_size", ">=", "10")])
+
+
+@check("F03_page_total_of_nothing", "SELECT count(*) AS total FROM part WHERE p_size > 100000")
+def f03_total_of_nothing(t):
+    return page_total(t["part"], [Condition("p_size", ">", "100000")])
 
 
 @check(

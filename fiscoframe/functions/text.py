@@ -3,20 +3,20 @@
 Accents are removed with one ``translate`` whose table is derived from the
 Unicode database: every character whose decomposition leaves exactly one
 non-mark character, plus the marks themselves (deleted).  Characters that expand
-to several (ligatures, fractions, Hangul syllables) need the Arrow function; it
-receives nulls for rows that hold none of them.
+to several are replaced first, in the rows that hold any: Hangul syllables by
+arithmetic, the others (ligatures, fractions and the like) from a table that is
+derived from the same database.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Stop-words dropped from search text.
 STOP_WORDS = (
@@ -59,24 +59,51 @@ def _fold_tables(form: str) -> tuple[str, str, str]:
     return "".join(folded + dropped), "".join(plain), "".join(expanding)
 
 
-def _expands(column: Column, form: str) -> Column:
-    """True if some character folds to several: removing those shortens the text."""
-    shorter = F.translate(column, _fold_tables(form)[2], "")
-    syllables = column.rlike(f"[\\x{{{_HANGUL[0]:x}}}-\\x{{{_HANGUL[1]:x}}}]")
-    return (F.length(shorter) < F.length(column)) | syllables
+@cache
+def _expansions(form: str) -> str:
+    """What each expanding character folds to, as JSON."""
+    bare = {
+        ch: "".join(part for part in unicodedata.normalize(form, ch) if not _is_mark(part, form))
+        for ch in _fold_tables(form)[2]
+    }
+    return json.dumps(bare)
+
+
+def _hangul_letters(ch: Column) -> Column:
+    """The two or three letters of a Hangul syllable, by the arithmetic of its code point."""
+    rest = F.ascii(ch) - _HANGUL[0]
+    first, vowel, last = (F.floor(rest / 588), F.floor(F.pmod(rest, F.lit(588)) / 28), F.pmod(rest, F.lit(28)))
+    letter = lambda start, n, at: F.substring(F.lit("".join(chr(start + k) for k in range(n))), at.cast("int") + 1, F.lit(1))
+    # without a last letter the table's place 0 is empty: places 1 to 27 follow
+    tail = F.when(last > 0, letter(0x11A7, 28, last)).otherwise(F.lit(""))
+    return F.concat(letter(0x1100, 19, first), letter(0x1161, 21, vowel), tail)
+
 
+def _expanded(column: Column, form: str) -> Column:
+    """Every expanding character replaced by what it folds to."""
+    syllable = f"[\\x{{{_HANGUL[0]:x}}}-\\x{{{_HANGUL[1]:x}}}]"
+    characters = _fold_tables(form)[2]
+    holds = F.length(F.translate(column, characters, "")) < F.length(column)
+    table = F.from_json(F.lit(_expansions(form)), "map<string,string>")
 
-def _arrow_fold(form: str):
-    @F.pandas_udf(StringType())
-    def fold(values: pd.Series) -> pd.Series:
-        def one(text):
-            if text is None:
-                return None
-            return "".join(c for c in unicodedata.normalize(form, text) if not _is_mark(c, form))
+    def one(ch: Column) -> Column:
+        is_syllable = (ch >= chr(_HANGUL[0])) & (ch <= chr(_HANGUL[1]))
+        # the table is only searched for characters that it holds
+        return F.when(is_syllable, _hangul_letters(ch)).when(F.contains(F.lit(characters), ch) & (ch != ""), table[ch]).otherwise(ch)
+
+    return F.when(column.rlike(syllable) | holds, F.array_join(F.transform(F.split(column, ""), one), "")).otherwise(column)
+
+
+@cache
+def _windows_1252() -> str:
+    """Characters of the bytes 0x80 to 0x9F in Windows code page 1252, U+FFFD where it has none."""
+    return bytes(range(0x80, 0xA0)).decode("cp1252", "replace")
 
-        return values.map(one, na_action="ignore")
 
-    return fold
+def read_as_windows_1252(column: Column) -> Column:
+    """Reads the UTF-8 bytes of a text as code page 1252, as a conversion from that page to UTF-8 does."""
+    latin = F.decode(F.encode(column, "UTF-8"), "ISO-8859-1")
+    return F.translate(latin, "".join(map(chr, range(0x80, 0xA0))), _windows_1252())
 
 
 def is_ascii(column: Column) -> Column:
@@ -84,8 +111,8 @@ def is_ascii(column: Column) -> Column:
     return F.length(column) == F.octet_length(column)
 
 
-def strip_accents(column: Column, form: str = "NFD", exact: bool = False, spaces: bool = False) -> Column:
-    """Decompose and drop combining marks; ``exact`` adds the Arrow pass.
+def strip_accents(column: Column, form: str = "NFD", spaces: bool = False) -> Column:
+    """Decompose and drop combining marks.
 
     Plain ASCII text is returned as it is.  ``spaces`` also turns every non-ASCII
     white space into a blank.
@@ -94,11 +121,7 @@ def strip_accents(column: Column, form: str = "NFD", exact: bool = False, spaces
     if spaces:
         blanks = "".join(ch for ch in WHITESPACE if ord(ch) > 0x7F)
         source, target = blanks + source, " " * len(blanks) + target
-    native = F.when(is_ascii(column), column).otherwise(F.translate(column, source, target))
-    if not exact:
-        return native
-    expanded = _arrow_fold(form)(F.when(~is_ascii(column) & _expands(column, form), column))
-    return F.coalesce(F.translate(expanded, source, target) if spaces else expanded, native)
+    return F.when(is_ascii(column), column).otherwise(F.translate(_expanded(column, form), source, target))
 
 
 def strip(column: Column) -> Column:
@@ -106,14 +129,14 @@ def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(WHITESPACE))
 
 
-def normalize(column: Column, exact: bool = False) -> Column:
+def normalize(column: Column) -> Column:
     """Accent-free, upper case, stripped; null stays null."""
-    return strip(F.upper(strip_accents(column.cast("string"), "NFD", exact)))
+    return strip(F.upper(strip_accents(column.cast("string"), "NFD")))
 
 
-def normalize_description(column: Column, empty_to_null: bool = True, exact: bool = False) -> Column:
+def normalize_description(column: Column, empty_to_null: bool = True) -> Column:
     """:func:`normalize` with inner white space collapsed."""
-    plain = F.upper(strip_accents(column.cast("string"), "NFD", exact, spaces=True))
+    plain = F.upper(strip_accents(column.cast("string"), "NFD", spaces=True))
     value = F.trim(F.regexp_replace(plain, _ASCII_SPACES, " "))
     return F.nullif(value, F.lit("")) if empty_to_null else value
 
@@ -143,13 +166,13 @@ def normalize_elements(column: Column) -> Column:
     return F.transform(column, lambda v: normalize(v))
 
 
-def search_text(column: Column, exact: bool = True) -> Column:
+def search_text(column: Column) -> Column:
     """Search form of a description: plain letters and digits, stop-words gone.
 
     Words are separated by single blanks first, so a stop-word is one that has a
     blank on both sides.
     """
-    plain = F.upper(strip_accents(F.coalesce(column.cast("string"), F.lit("")), "NFKD", exact))
+    plain = F.upper(strip_accents(F.coalesce(column.cast("string"), F.lit("")), "NFKD"))
     words = F.concat(F.lit(" "), F.regexp_replace(plain, "[^A-Z0-9]+", " "), F.lit(" "))
     return F.trim(F.regexp_replace(words, f"(?<= )(?:{'|'.join(STOP_WORDS)}) ", ""))
 

@@ -13,18 +13,20 @@ ITEM_SCHEMA = (
     "struct<_nItem:int,prod:struct<cProd:string>,"
     f"imposto:struct<ICMS:map<string,struct<{_ICMS}>>>>"
 )
-_ITEM = r"(?s)<det[\s>].*?</det>"
+_ITEM = r"(?s)<((?:[\w.-]+:)?)det[\s>].*?</\1det>"
+_PREFIX = r"(</?)[\w.-]+:"
 
 
 def invoice_items(df: DataFrame, xml: str, *keep: str) -> DataFrame:
     """One row per ``det`` element at any depth; missing tags are zero.
 
     Items are cut out of the document first, so their depth does not matter and
-    each is parsed once.
+    each is parsed once.  Namespace prefixes of tags do not matter either.
     """
     pieces = df.select(
         *keep, F.explode(F.regexp_extract_all(F.col(xml), F.lit(_ITEM), F.lit(0))).alias("piece")
     )
+    pieces = pieces.withColumn("piece", F.regexp_replace("piece", _PREFIX, "$1"))
     parsed = pieces.select(*keep, F.from_xml("piece", ITEM_SCHEMA).alias("item"))
     groups = F.coalesce(F.map_values("item.imposto.ICMS"), F.array())
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fiscoframe.operators.predicates import Condition, apply_filters, visible
 
@@ -31,6 +32,11 @@ def page_rows(
     return visible(df.orderBy(*order).offset(offset).limit(page_size), columns)
 
 
+def page_total(df: DataFrame, conditions: Sequence[Condition]) -> DataFrame:
+    """One row with the number of rows that match (0 if none does), as a frame."""
+    return apply_filters(df, conditions).agg(F.count(F.lit(1)).alias("total"))
+
+
 def get_page(
     df: DataFrame,
     conditions: Sequence[Condition],

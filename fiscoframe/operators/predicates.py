@@ -1,7 +1,9 @@
 """Ad-hoc filters, search, column choice and quick filters.
 
-All operators work on the text form of a column.  Conditions are combined into
-one ``where`` each, so comparisons on plain columns still reach the scan.
+All operators are defined on the text form of a column.  Where a comparison of the
+column itself with a literal of its type means the same, that is used, because only
+such a comparison reaches the scan: equality on text and numbers, and the
+numeric comparisons on numbers.
 """
 
 from __future__ import annotations
@@ -9,12 +11,16 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from decimal import Context, Decimal, InvalidOperation
 from functools import reduce
+from math import ceil, floor
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_CONTEXT = Context(prec=400)
+
 # Operator names of the predicate grammar.
 CONTAINS = "contém"
 EQUALS = "igual"
@@ -52,7 +58,52 @@ def _number(value: str) -> float | None:
         return None
 
 
-def _scalar(column: Column, operator: str, value: str) -> Column:
+_WHOLE_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def _literal(scaled: int, data_type: str) -> Column | None:
+    """``scaled`` units of the last place as a literal of the type, if it fits."""
+    if data_type in _WHOLE_BITS:
+        fits = -(1 << _WHOLE_BITS[data_type] - 1) <= scaled < 1 << _WHOLE_BITS[data_type] - 1
+        return F.lit(scaled).cast(data_type) if fits else None
+    precision, scale = map(int, data_type[8:-1].split(","))
+    return F.lit(str(Decimal(scaled).scaleb(-scale))).cast(data_type) if abs(scaled) < 10**precision else None
+
+
+def _typed(column: Column, operator: str, value: str, data_type: str) -> Column | None:
+    """The same condition on the column itself, or None where only the text form will do."""
+    if data_type == "string":
+        return column == value if operator == EQUALS and value else None
+    if data_type == "double":
+        number = _number(value) if operator in COMPARISONS else None
+        return None if number is None else _compared(column, operator, F.lit(number))
+    if data_type not in _WHOLE_BITS and not data_type.startswith("decimal"):
+        return None
+    scale = 0 if data_type in _WHOLE_BITS else int(data_type[8:-1].split(",")[1])
+    try:
+        exact = Decimal(value.replace(",", ".") if operator in COMPARISONS else value).scaleb(scale, _CONTEXT)
+    except InvalidOperation:
+        return None
+    if not exact.is_finite():
+        return None
+    if operator == EQUALS:
+        plain = exact == int(exact) and format(Decimal(int(exact)).scaleb(-scale), "f") == value
+        literal = _literal(int(exact), data_type) if plain else None
+        return None if literal is None else column == literal
+    if operator not in COMPARISONS:
+        return None
+    literal = _literal(floor(exact) if operator in (">", "<=") else ceil(exact), data_type)
+    return None if literal is None else _compared(column, operator, literal)
+
+
+def _compared(column: Column, operator: str, limit: Column) -> Column:
+    return {">": column > limit, ">=": column >= limit, "<": column < limit, "<=": column <= limit}[operator]
+
+
+def _scalar(column: Column, operator: str, value: str, data_type: str = "") -> Column:
+    typed = _typed(column, operator, value, data_type)
+    if typed is not None:
+        return typed
     text = as_text(column)
     if operator == CONTAINS:
         return F.lower(text).contains(value.lower())
@@ -67,21 +118,15 @@ def _scalar(column: Column, operator: str, value: str) -> Column:
     number = _number(value) if operator in COMPARISONS else None
     if number is None:
         return text == value
-    cell = column.try_cast("double")
-    return {
-        ">": cell > number,
-        ">=": cell >= number,
-        "<": cell < number,
-        "<=": cell <= number,
-    }[operator]
+    return _compared(column.try_cast("double"), operator, F.lit(number))
 
 
 def predicate(df: DataFrame, condition: Condition) -> Column:
     """Boolean column of one condition; a list column matches on any element."""
     column = F.col(f"`{condition.column}`")
-    is_list = dict(df.dtypes)[condition.column].startswith("array")
-    if not is_list:
-        return _scalar(column, condition.operator, condition.value)
+    data_type = dict(df.dtypes)[condition.column]
+    if not data_type.startswith("array"):
+        return _scalar(column, condition.operator, condition.value, data_type)
     empty = column.isNull() | (F.size(column) == 0)
     if condition.operator == IS_NULL:
         return empty

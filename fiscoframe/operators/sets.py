@@ -22,20 +22,34 @@ def union_conformed(frames: Iterable[DataFrame], schema: Mapping[str, str]) -> D
     return reduce(DataFrame.unionByName, [conform(df, schema) for df in frames])
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def wider_type(a: str, b: str) -> str:
+    """Common type of two columns: numbers stay numbers, moments stay moments, anything else is text."""
+    if a == b:
+        return a
+    numbers = (*_WHOLE, "float", "double")
+    if {a, b} <= set(_WHOLE):
+        return "bigint"
+    if {a, b} == {"date", "timestamp"}:
+        return "timestamp"
+    if not all(t in numbers or t.startswith("decimal") for t in (a, b)):
+        return "string"
+    if not {a, b}.isdisjoint({"float", "double"}):
+        return "double"
+    # whole numbers have up to 19 digits before the point
+    sizes = [tuple(map(int, t[8:-1].split(","))) if t.startswith("decimal") else (19, 0) for t in (a, b)]
+    scale = max(s for _, s in sizes)
+    return f"decimal({min(38, max(p - s for p, s in sizes) + scale)},{scale})"
+
+
 def union_widened(frames: Sequence[DataFrame]) -> DataFrame:
-    """Align by name and widen differing types: numbers together, anything else to text."""
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    """Align by name and widen differing types."""
     types: dict[str, str] = {}
     for df in frames:
         for name, data_type in df.dtypes:
-            seen = types.get(name)
-            if seen is None or seen == data_type:
-                types[name] = data_type
-            elif seen in numeric and data_type in numeric:
-                whole = {"tinyint", "smallint", "int", "bigint"}
-                types[name] = "bigint" if {seen, data_type} <= whole else "double"
-            else:
-                types[name] = "string"
+            types[name] = wider_type(types.get(name, data_type), data_type)
     return union_conformed(frames, types)
 
 

@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fiscoframe.operators.ranking import number_rows
-
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row per key in the given order (which should be total)."""
@@ -48,11 +46,15 @@ def all_versions(
     delivered: str = "data_entrega",
     identifier: str = "reg_0000_id",
 ) -> DataFrame:
-    """Every version with its rank (newest first) and the number of submissions."""
+    """Every version with its rank (newest first) and the number of submissions.
+
+    A key is one taxpayer and one period, so its rows are the submissions of one month's file:
+    a handful, which one window ranks and counts in one shuffle.
+    """
     known = submitted_until(files, cut_off, delivered, whole_day=True)
-    ranked = number_rows(known, keys, [F.col(delivered).desc(), F.col(identifier).desc()], "ordem")
-    sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("qtd_envios"))
-    return ranked.join(sizes, list(keys), "left")
+    of_key = Window.partitionBy(*keys)
+    newest_first = of_key.orderBy(F.col(delivered).desc(), F.col(identifier).desc())
+    return known.withColumn("ordem", F.row_number().over(newest_first)).withColumn("qtd_envios", F.count(F.lit(1)).over(of_key))
 
 
 def last_event(events: DataFrame) -> DataFrame:

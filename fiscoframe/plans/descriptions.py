@@ -21,7 +21,7 @@ from fiscoframe.operators.aggregates import (
 from fiscoframe.operators.predicates import not_blank
 from fiscoframe.operators.ranking import number_rows
 from fiscoframe.plans.items import KEY
-from fiscoframe.schemas import MEASURE
+from fiscoframe.schemas import TOTAL
 
 _DEFAULTS = {
     "ncm_padrao": "lista_ncm",
@@ -33,7 +33,7 @@ _DEFAULTS = {
 
 
 def _total(name: str) -> Column:
-    return F.sum(F.col(name).cast(MEASURE)).cast("double").alias(name)
+    return F.sum(F.col(name).cast(TOTAL)).cast("double").alias(name)
 
 
 def _lists(items: DataFrame, mapping: dict[str, str]) -> list[Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fiscoframe.functions import labels as lb
 from fiscoframe.functions.keys import digits_only
+from fiscoframe.functions.text import read_as_windows_1252
 from fiscoframe.functions.values import months_between_2dp, plain_number, yyyymmdd
 from fiscoframe.functions.xml import invoice_items
 from fiscoframe.operators.predicates import authorised, consumer_or_invoice_model
@@ -102,11 +103,13 @@ def xml_tax_values(t: T, p: Params) -> DataFrame:
         .select("chave_acesso", "co_emitente", "co_destinatario"),
         p.cnpj,
         "cnpj",
-    ).select("cnpj", "chave_acesso")
-    documents = documents.distinct()
-    wanted = t["nfe_xml"].join(documents.select("chave_acesso"), "chave_acesso", "left_semi")
-    values = invoice_items(wanted, "xml", "chave_acesso")
-    return values.join(documents, "chave_acesso").select("cnpj", *values.columns)
+    )
+    # one row a document with its parties (two at most for each), so that its XML is joined and read once
+    parties = documents.groupBy("chave_acesso").agg(F.collect_set("cnpj").alias("parties"))
+    wanted = t["nfe_xml"].join(parties, "chave_acesso")
+    values = invoice_items(wanted, "xml", "chave_acesso", "parties")
+    own = [c for c in values.columns if c != "parties"]
+    return values.select(F.explode("parties").alias("cnpj"), *own)
 
 
 def sales_to_listed_buyers(t: T, p: Params) -> DataFrame:
@@ -201,13 +204,15 @@ def _audit_context(documents: DataFrame, t: T, p: Params, one_row: bool) -> Data
         F.col("no_pessoa_ciencia").alias("nome_assinante"),
     )
     kinds = t["malhas"].select(F.col("id").alias("malhas_id"), F.col("titulo").alias("titulo_malha"))
-    return (
-        documents.join(links, ["cnpj", "chave_acesso"], "left")
-        .join(pendencies, ["cnpj", "malhas_id", "referencia_malhas_id"], "left")
+    # the context tables meet among themselves first; the documents are moved once, and those
+    # without a link never carry null keys into a join
+    context = (
+        links.join(pendencies, ["cnpj", "malhas_id", "referencia_malhas_id"], "left")
         .join(kinds, "malhas_id", "left")
         .join(notices, ["cnpj", "id_pendencia"], "left")
         .withColumn("data_ciencia_consolidada", F.coalesce("dt_ciencia", "data_ciencia"))
     )
+    return documents.join(context, ["cnpj", "chave_acesso"], "left")
 
 
 _CONTEXT = (
@@ -254,9 +259,8 @@ def omitted_documents(t: T, p: Params) -> DataFrame:
         .select("cnpj", F.col("chv_nfe").alias("chave_acesso"))
     )
     missing = issued.join(declared, ["cnpj", "chave_acesso"], "left_anti")
-    events = last_event(
-        t["dm_eventos"].join(missing.select("chave_acesso"), "chave_acesso", "left_semi")
-    )
+    # one newest event a document, so that the anti join above is planned once
+    events = last_event(t["dm_eventos"])
     return (
         _audit_context(missing, t, p, one_row=True)
         .join(events, "chave_acesso", "left")
@@ -413,9 +417,12 @@ def taxpayer_data(t: T, p: Params) -> DataFrame:
         .agg(F.max("it_da_transacao").alias("data_ult_sit"))
     )
     changed = yyyymmdd(F.col("data_ult_sit"))
-    end = F.when(F.col("in_situacao") == "001", F.lit(p.limit).cast("date")).otherwise(changed)
+    end = F.when(F.col("in_situacao") == "001", F.lit(p.today).cast("date")).otherwise(changed)
     months = months_between_2dp(end, F.col("da_inicio_atividade"))
     text = lambda name: F.coalesce(F.col(name), F.lit(""))
+    # labels of all situations but the active one are converted from the code page
+    label = F.col("desc_situacao")
+    situation = F.when(F.col("in_situacao") == "001", label).otherwise(read_as_windows_1252(label))
     return (
         one_taxpayer(t["dm_pessoa"], "co_cnpj_cpf", p.cnpj)
         .join(places, "co_municipio", "left")
@@ -431,7 +438,7 @@ def taxpayer_data(t: T, p: Params) -> DataFrame:
             "municipio",
             "uf",
             F.concat(text("co_regime_pagto"), F.lit(" - "), text("no_regime_pagamento")).alias("regime_de_pagamento"),
-            F.concat(text("in_situacao"), F.lit(" - "), text("desc_situacao")).alias("situacao_da_ie"),
+            F.concat(text("in_situacao"), F.lit(" - "), F.coalesce(situation, F.lit(""))).alias("situacao_da_ie"),
             F.col("da_inicio_atividade").alias("data_de_inicio_da_atividade"),
             changed.alias("data_da_ultima_situacao"),
             F.concat(F.coalesce(plain_number(months), F.lit("")), F.lit(" meses")).alias("periodo_em_atividade"),

@@ -248,6 +248,7 @@ def refund_items(t: T, p: Params) -> DataFrame:
     """Tax-substitution refund items (C176) with the computed refunds."""
     header = t["reg_c100"].select(
         F.col("id").alias("reg_c100_id"),
+        "reg_0000_id",
         F.col("chv_nfe").alias("chave_saida"),
         F.col("num_doc").alias("num_nf_saida"),
         F.col("dt_doc").alias("dt_doc_saida"),
@@ -255,6 +256,7 @@ def refund_items(t: T, p: Params) -> DataFrame:
     )
     line = t["reg_c170"].select(
         F.col("id").alias("reg_c170_id"),
+        "reg_0000_id",
         "cod_item",
         F.col("descr_compl").alias("descricao_item"),
         F.col("num_item").alias("num_item_saida"),
@@ -269,11 +271,16 @@ def refund_items(t: T, p: Params) -> DataFrame:
     zero = F.lit(0)
     purpose, reason = F.col("cod_fin_efd"), F.col("cod_mot_res")
     taxed = F.coalesce(F.col("vl_icms_item"), zero) > 0
+    # the two large tables are cut to the files in force before they are moved
+    files = declared_files_in_force(t, p)
+    in_force = files.select("reg_0000_id")
+    header = header.join(in_force, "reg_0000_id", "left_semi")
+    line = line.join(in_force, "reg_0000_id", "left_semi")
     return (
         t["reg_c176"]
-        .join(declared_files_in_force(t, p), "reg_0000_id")
-        .join(header, "reg_c100_id")
-        .join(line, "reg_c170_id")
+        .join(files, "reg_0000_id")
+        .join(header, ["reg_c100_id", "reg_0000_id"])
+        .join(line, ["reg_c170_id", "reg_0000_id"])
         .select(
             "cnpj",
             period(F.col("dt_ini")).alias("periodo_efd"),

@@ -20,6 +20,7 @@ from fiscoframe.operators.aggregates import (
 from fiscoframe.operators.ranking import number_rows, numbered_id
 from fiscoframe.operators.sets import union_conformed
 from fiscoframe.schemas import MOVEMENT
+from fiscoframe.session import stage
 from fiscoframe.sources.readers import (
     read_inventory_movements,
     read_invoice_movements,
@@ -106,7 +107,8 @@ def grouped_products(product_table: DataFrame, assignment: DataFrame | None = No
 
     group = ["cnpj", "id_agrupado"]
     assignment = assignment.select("cnpj", "id_agrupado", "chave_produto").distinct()
-    members = product_table.join(assignment, ["cnpj", "chave_produto"])
+    # read by three aggregates
+    members = stage(product_table.join(assignment, ["cnpj", "chave_produto"]))
     described = best_description(
         members,
         group,

@@ -6,17 +6,15 @@ bridge, so the bridge join moves one row per item and unit instead of every line
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fiscoframe.functions.keys import item_key
 from fiscoframe.functions.values import guarded_ratio
 from fiscoframe.operators.aggregates import (
     first_non_null,
-    groups_with_several,
     largest_unit,
     longest,
-    with_group_size,
 )
 from fiscoframe.operators.versioning import latest
 from fiscoframe.plans.items import KEY, condense, normalize_key_fields
@@ -92,30 +90,35 @@ def with_prices(grouped: DataFrame) -> DataFrame:
     return out.withColumns({name: F.col(name).cast("double") for name in totals})
 
 
-def reference_prices(base: DataFrame) -> DataFrame:
-    """Reference unit of each product and its prices, in one aggregation.
+def with_reference(base: DataFrame) -> DataFrame:
+    """Reference unit of each product, its prices and the number of units, on every row of the product.
 
     The chosen unit wins; otherwise the unit with the largest volume.  A chosen unit
-    that never occurs has no prices.
+    that never occurs has no prices.  A product has few units, so its rows meet in one window and
+    the base is read once.
     """
+    product = Window.partitionBy(*PRODUCT)
     row = F.struct(
         F.col("unidade"), F.col("preco_medio_entrada").alias("ent"), F.col("preco_medio_saida").alias("sai")
     )
-    chosen = F.col("unidade") == F.col("unid_padrao")
-    picked = base.groupBy(*PRODUCT).agg(
-        F.max("unid_padrao").alias("__chosen"),
-        F.max(F.when(chosen, row)).alias("__chosen_row"),
-        largest_unit(row, F.col("volume_total")).alias("__auto_row"),
-        F.min_by("descricao_longa", F.struct(-F.length("descricao_longa"), "descricao_longa")).alias("__longest"),
+    picked = base.withColumns(
+        {
+            "__chosen": F.max("unid_padrao").over(product),
+            "__chosen_row": F.max(F.when(F.col("unidade") == F.col("unid_padrao"), row)).over(product),
+            "__auto_row": largest_unit(row, F.col("volume_total")).over(product),
+            "__longest": F.min_by("descricao_longa", F.struct(-F.length("descricao_longa"), "descricao_longa")).over(product),
+            "__units": F.count(F.lit(1)).over(product),
+        }
     )
     prices = F.when(F.col("__chosen").isNotNull(), F.col("__chosen_row")).otherwise(F.col("__auto_row"))
-    return picked.select(
-        *PRODUCT,
-        F.coalesce("__chosen", "__auto_row.unidade").alias("unid_ref"),
-        prices["ent"].alias("preco_ref_ent"),
-        prices["sai"].alias("preco_ref_sai"),
-        "__longest",
+    found = picked.withColumns(
+        {
+            "unid_ref": F.coalesce("__chosen", "__auto_row.unidade"),
+            "preco_ref_ent": prices["ent"],
+            "preco_ref_sai": prices["sai"],
+        }
     )
+    return found.drop("__chosen", "__chosen_row", "__auto_row")
 
 
 def unit_factor(unit: str, reference: str, direction: str = REFERENCE_OVER_UNIT) -> Column:
@@ -182,9 +185,8 @@ def with_manual_factors(
 
 def conversion_factors(base: DataFrame, manual: DataFrame | None = None) -> DataFrame:
     """Factors of products that use several units, with a quality status."""
-    joined = base.join(reference_prices(base), PRODUCT).withColumn("__f", unit_factor("unidade", "unid_ref"))
-    counted = with_group_size(joined, PRODUCT, "__units").where(F.col("__units") > 1)
-    out = counted.select(
+    joined = with_reference(base).withColumn("__f", unit_factor("unidade", "unid_ref"))
+    out = joined.where(F.col("__units") > 1).select(
         *PRODUCT,
         F.col("__longest").alias("descricao"),
         "unidade",
@@ -201,8 +203,7 @@ def conversion_factors(base: DataFrame, manual: DataFrame | None = None) -> Data
 
 def conversion_factors_v2(base: DataFrame, manual: DataFrame | None = None) -> DataFrame:
     """Suggested factor, confidence and validation status of every product and unit."""
-    joined = base.join(reference_prices(base).drop("__longest"), PRODUCT)
-    scored = joined.withColumns(
+    scored = with_reference(base).withColumns(
         {
             "fator_sugerido": unit_factor("unidade", "unid_ref"),
             "score_confianca": confidence(F.col("volume_total"), F.col("score_confianca_produto")),
@@ -279,32 +280,31 @@ def legacy_factors(product_table: DataFrame, movements: DataFrame) -> DataFrame:
 
     Only products with several units; pairs without usable prices are left out.
     """
-    prices = mean_unit_prices(movements)
-    reference = most_used_unit(prices)
     key = ["cnpj", "descricao_normalizada"]
+    # a description has few units: one window gives its most used unit with the prices of that unit
+    of_description = Window.partitionBy(*key)
+    row = F.struct(
+        F.col("unid"), F.col("preco_medio_compra").alias("compra"), F.col("preco_medio_venda").alias("venda")
+    )
+    most_used = F.min_by(row, F.struct(-F.col("movimentos"), "unid")).over(of_description)
+    prices = mean_unit_prices(movements).withColumn("__ref", most_used)
     wide = product_table.withColumn("unid", F.explode("lista_unid")).select(
         *key, "chave_produto", F.col("descricao").alias("descr_padrao"), "unid"
     )
-    priced = groups_with_several(wide.join(prices, [*key, "unid"]), PRODUCT)
-    own = priced.join(reference.where(F.col("unid_ref") != ""), key)
-    ref = prices.select(
-        *key,
-        F.col("unid").alias("unid_ref"),
-        F.col("preco_medio_compra").alias("ref_compra"),
-        F.col("preco_medio_venda").alias("ref_venda"),
-    )
-    compra = (F.col("preco_medio_compra") > 0) & (F.col("ref_compra") > 0)
-    venda = (F.col("preco_medio_venda") > 0) & (F.col("ref_venda") > 0)
+    priced = wide.join(prices, [*key, "unid"]).withColumn("__units", F.count(F.lit(1)).over(Window.partitionBy(*PRODUCT)))
+    own = priced.where((F.col("__units") > 1) & (F.col("__ref.unid") != ""))
+    ref_compra, ref_venda = F.col("__ref.compra"), F.col("__ref.venda")
+    compra = (F.col("preco_medio_compra") > 0) & (ref_compra > 0)
+    venda = (F.col("preco_medio_venda") > 0) & (ref_venda > 0)
     factor = (
-        F.when(F.col("unid") == F.col("unid_ref"), F.lit(1.0))
-        .when(compra, F.try_divide("preco_medio_compra", "ref_compra"))
-        .when(venda, F.try_divide("preco_medio_venda", "ref_venda"))
+        F.when(F.col("unid") == F.col("__ref.unid"), F.lit(1.0))
+        .when(compra, F.try_divide("preco_medio_compra", ref_compra))
+        .when(venda, F.try_divide("preco_medio_venda", ref_venda))
     )
     return (
-        own.join(ref, [*key, "unid_ref"])
-        .withColumn("fator", factor)
+        own.withColumn("fator", factor)
         .where(F.col("fator").isNotNull())
-        .select("cnpj", F.col("chave_produto").alias("id_produtos"), "descr_padrao", "unid", "unid_ref", "fator")
+        .select("cnpj", F.col("chave_produto").alias("id_produtos"), "descr_padrao", "unid", F.col("__ref.unid").alias("unid_ref"), "fator")
     )
 
 

@@ -2,7 +2,9 @@
 
 ``MEASURE`` is the type in which money and quantities are added up.  A decimal
 sum does not depend on the order in which a shuffle delivers its rows, so totals
-are reproducible; six places cover ledger quantities (5) and unit prices.
+are reproducible.  One amount has 18 integer digits and ten places, a total
+(``TOTAL``) 28 integer digits.  Text that is no number counts as missing; a number
+that does not fit raises, everywhere.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MEASURE = "decimal(18,6)"
+MEASURE = "decimal(28,10)"
+TOTAL = "decimal(38,10)"
 
 ITEM_KEY_FIELDS = ("codigo", "descricao", "descr_compl", "tipo_item", "ncm", "cest", "gtin")
 VALUE_FIELDS = ("valor_entrada", "valor_saida", "quantidade_entrada", "quantidade_saida")
@@ -46,9 +49,15 @@ OPERATION_LOG = (
 REGISTRY = "cnpj string, added_at timestamp, last_run_at timestamp"
 
 
+def amount(column: Column, data_type: str = MEASURE) -> Column:
+    """Decimal of a number or its text; anything else is null, a number out of range raises."""
+    number = column.try_cast("double")
+    return F.when(number.isNotNull() & ~F.isnan(number), column.cast(data_type))
+
+
 def measure(column: Column) -> Column:
     """Null-safe amount: unparsable or missing becomes zero."""
-    return F.coalesce(column.try_cast(MEASURE), F.lit(0).cast(MEASURE))
+    return F.coalesce(amount(column), F.lit(0).cast(MEASURE))
 
 
 def first_present(df: DataFrame, *candidates: str) -> str | None:
@@ -62,7 +71,7 @@ def conform(
     schema: Mapping[str, str],
     aliases: Mapping[str, Iterable[str]] | None = None,
 ) -> DataFrame:
-    """Project ``df`` onto ``schema``: pick, cast with ``try_cast``, add typed nulls.
+    """Project ``df`` onto ``schema``: pick, cast tolerantly, add typed nulls.
 
     ``aliases`` gives alternative source names per target, in order of preference.
     Casting before a union avoids the ANSI failure of widening text with numbers.
@@ -71,7 +80,12 @@ def conform(
     columns = []
     for name, data_type in schema.items():
         source = first_present(df, *aliases.get(name, ()), name) if name in aliases else first_present(df, name)
-        value = F.col(source).try_cast(data_type) if source else F.lit(None).cast(data_type)
+        if source is None:
+            value = F.lit(None).cast(data_type)
+        elif data_type.startswith("decimal"):
+            value = amount(F.col(source), data_type)
+        else:
+            value = F.col(source).try_cast(data_type)
         columns.append(value.alias(name))
     return df.select(*columns)
 

@@ -54,14 +54,17 @@ def tables_of(tables: Mapping[str, DataFrame], cnpj: str) -> list[str]:
 def by_precedence(candidates: Iterable[DataFrame], keys: Iterable[str] = ("cnpj",)) -> DataFrame:
     """Per taxpayer, the rows of the first candidate that has any.
 
-    The choice is made on the distinct (key, candidate) pairs, which are few, and
-    applied with a semi join, so the rows themselves are never ranked.
+    The rows of the first candidate always stay and are not moved; those of a later one stay where no
+    earlier candidate has the key, which a scan of the key columns alone decides.
     """
     keys = list(keys)
-    ranked = [df.withColumn("__prio", F.lit(i)) for i, df in enumerate(candidates)]
-    everything = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
-    best = everything.groupBy(*keys).agg(F.min("__prio").alias("__prio"))
-    return everything.join(best, [*keys, "__prio"], "left_semi").drop("__prio")
+    kept: list[DataFrame] = []
+    seen: DataFrame | None = None
+    for df in candidates:
+        kept.append(df if seen is None else df.join(seen, keys, "left_anti"))
+        own = df.select(*keys).distinct()
+        seen = own if seen is None else seen.union(own)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept)
 
 
 def resolve_name(available: Iterable[str], prefix: str) -> str | None:

@@ -1,38 +1,16 @@
-"""Checks against plain SQL at the smallest scale.
-
-All of them run with ``FISCOFRAME_ALL_CHECKS=1``; otherwise the quick families and a
-few of the long ones.
-"""
+"""All checks against plain SQL at the smallest scale."""
 
 from __future__ import annotations
 
-import os
-
 import compare
 import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry_module
+from fiscoframe import checks
 
 QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
-LONG = {
-    "I01_item_characteristics",
-    "I05_descriptions_v2",
-    "I10_grouped_products",
-    "I12_conversion_factors_v2",
-    "I16_apply_merge",
-    "I18_recomputed_totals",
-    "Q01_omitted_documents",
-    "Q03_audit_pendencies",
-    "Q07_xml_tax_values",
-    "Q11_ledger_items",
-    "Q13_refund_reconciliation",
-    "Q15_transport_documents",
-    "Q18_under_declared_with_context",
-    "Q20_border_analysis",
-}
-EVERYTHING = os.environ.get("FISCOFRAME_ALL_CHECKS") == "1"
-NAMES = [n for n in QUERIES if EVERYTHING or n in LONG or n[0] in "ACDEFGH"]
+NAMES = list(SQL)
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +24,7 @@ def test_equals_plain_sql(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(checks.loaded(checks.QUERIES)) == set(checks.loaded(checks.SQL))
 
 
 def test_flagship(spark):

@@ -58,7 +58,7 @@ def test_search_text_matches_definition(spark):
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(max_size=30), min_size=50, max_size=80))
 def test_text_properties(spark, values):
-    exact = text.normalize(F.col("t"), exact=True)
+    exact = text.normalize(F.col("t"))
     got = column(spark, values, exact, text.search_text(F.col("t")))
     assert [g[0] for g in got] == [expected_normal(v) for v in values]
     assert [g[1] for g in got] == [expected_search(v) for v in values]
