@@ -11,8 +11,10 @@ without rows.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,20 @@ ORC = {
 ROW = "doc_id long, n_tokens long, ids array<int>"
 
 
+#: Punctuation that ends chunks; after a letter it is a token sequence of its own.
+TAIL = ".,;:!?\"'()*#$%&|[]{}-_/+=<>@~^"
+MERGED = re.compile(r" (?=\s|\Z)")
+
+
+def written(chunk: str) -> str:
+    """Short form of a chunk: most begin with one space, which is left out; any other gets one in front."""
+    return chunk[1:] if chunk[:1] == " " and chunk[1:2] not in ("", " ") else " " + chunk
+
+
+def chunk_of(word: str) -> str:
+    return word[1:] if word[:1] == " " else " " + word
+
+
 class Encoder:
     """The tokenizer with a memory of chunks.
 
@@ -54,41 +70,89 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.runs: list[np.ndarray] = []
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self.parts: dict[str, int] = {}
+        self.starts = self.lengths = self.part_starts = self.part_lengths = np.zeros(0, np.int64)
+        self.ids = self.part_ids = np.zeros(0, np.int32)
+        self.seen = np.zeros(0, np.int64)
+
+    def keep_frequent(self, coming: int) -> None:
+        """Make room: only chunks met in several batches stay, none if these are too many as well."""
+        kept = np.flatnonzero(self.seen > 1)
+        words, starts, lengths, ids = list(self.known), self.starts[kept], self.lengths[kept], self.ids
+        self.forget()
+        if len(kept) + coming <= REMEMBERED:
+            self.known = {words[k]: i for i, k in enumerate(kept)}
+            self.starts, self.lengths = np.cumsum(lengths) - lengths, lengths
+            self.ids, self.seen = ids[spread(starts, lengths)], np.ones(len(kept), np.int64)
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        parts = text.split(" ")
-        out = parts[:1]
-        for p in parts[1:]:
+        """The chunks of a text in their written form."""
+        words = text.split(" ")
+        if MERGED.search(text) is None:
+            words[0] = " " + words[0]
+            return words
+        out = words[:1]
+        for p in words[1:]:
             if p and not p[0].isspace():
                 out.append(" " + p)
             else:
                 out[-1] += " " + p
-        return out if out != [""] else []
+        return [written(w) for w in out]
+
+    @staticmethod
+    def split(chunk: str) -> list[str]:
+        """Parts of a chunk that the tokenizer never joins: lines with single breaks, and the punctuation after a letter."""
+        lines = chunk.split("\n")
+        if len(lines) > 1 and not (all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:])):
+            return [chunk]
+        out = []
+        for k, line in enumerate(lines):
+            if k:
+                out.append("\n")
+            core = line.rstrip(TAIL)
+            if core and len(core) < len(line) and core[-1].isalpha():
+                out += [core, line[len(core) :]]
+            else:
+                out.append(line)
+        return out
 
     def learn(self, new: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for g in got for i in g), np.int32, int(lengths.sum()))
-        base = len(self.known)
-        self.known.update((w, base + i) for i, w in enumerate(new))
+        """Ids of new chunks; each different part is encoded once."""
+        parts = [[" " + w] if w.isalpha() else self.split(chunk_of(w)) for w in new]
+        flat = list(chain.from_iterable(parts))
+        if fresh := list(dict.fromkeys(p for p in flat if p not in self.parts)):
+            encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), np.int32, int(lengths.sum()))
+            self.parts.update(zip(fresh, range(len(self.parts), len(self.parts) + len(fresh)), strict=True))
+            self.part_starts = np.concatenate([self.part_starts, len(self.part_ids) + np.cumsum(lengths) - lengths])
+            self.part_lengths = np.concatenate([self.part_lengths, lengths])
+            self.part_ids = np.concatenate([self.part_ids, ids])
+        at = np.fromiter((self.parts[p] for p in flat), np.int64, len(flat))
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        sizes = self.part_lengths[at]
+        lengths = np.add.reduceat(sizes, np.cumsum(counts) - counts)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, self.part_ids[spread(self.part_starts[at], sizes)]])
+        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
 
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by the end id, and the number of ids of each text."""
         codes, distinct, offsets = flat_words([self.chunks(t) for t in batch])
-        if len(self.known) + len(distinct) > REMEMBERED and self.known:
-            self.known, self.starts, self.lengths, self.ids = {}, self.starts[:0], self.lengths[:0], self.ids[:0]
+        if len(self.known) + len(distinct) > REMEMBERED:
+            self.keep_frequent(len(distinct))
         if new := [w for w in distinct if w not in self.known]:
             self.learn(new)
-        place = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[codes]
+        place = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))
+        self.seen[place] += 1
+        place = place[codes]
         lengths = self.lengths[place]
         total = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         counts = np.diff(total) + 1
