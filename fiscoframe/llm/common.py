@@ -12,6 +12,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
+
+#: Ids that are sent to all tasks at most: 24 MB as a hash table.
+BROADCAST_IDS = 1_000_000
 #: Characters that one Python slice of an Arrow batch holds at most (one longer text is a slice of its own).
 SLICE_CHARS = 4_000_000
 
@@ -37,6 +41,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_or_joined(ids: DataFrame) -> DataFrame:
+    """Stored ids for a semi or anti join: sent to all tasks if their counted number is bounded, else joined by a shuffle."""
+    ids = stage(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds about ``most`` bytes of ``column``; every row is in exactly one piece."""
     for batch in batches:

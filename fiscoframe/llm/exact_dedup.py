@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import partitions, ship, slices, texts
+from .common import partitions, ship, slices, small_or_joined, texts
 
 ship(__name__)
 
@@ -144,5 +144,5 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def drop_exact(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The rows that stay, with the columns of ``docs``; rows without an id stay."""
     gone = exact_groups(docs, capacity).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
+    gone = small_or_joined(gone.select(F.col("doc_id").alias("__gone")).distinct())
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

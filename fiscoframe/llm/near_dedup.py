@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import flat_words, map_slices, mix, ship, shingle_hashes, slices, texts, word_hashes
+from .common import flat_words, map_slices, mix, ship, shingle_hashes, slices, small_or_joined, texts, word_hashes
 
 ship(__name__)
 
@@ -110,7 +110,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def damped_idf(table: np.ndarray, n: int) -> np.ndarray:
     """Weight by counter: 1 up to the share RARE of documents, FLOOR for all documents, logarithmic between."""
     share = np.maximum(table - table.mean(), 1) / max(1, n)
-    rare = min(1.0, np.log(1 / RARE)) and np.clip(np.log(1 / np.minimum(1, share)) / np.log(1 / RARE), 0, 1)
+    rare = np.clip(np.log(1 / np.minimum(1, share)) / np.log(1 / RARE), 0, 1)
     # a share of few documents is no frequent one, however small the table
     return np.where(table <= 20, 1.0, FLOOR + (1 - FLOOR) * rare).astype(np.float32)
 
@@ -201,7 +201,7 @@ def verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     """Pairs (a, b) whose whole texts reach the threshold, with their similarity."""
     bodies = texts(docs)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    bodies = bodies.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    bodies = bodies.join(small_or_joined(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     left = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(right, "b").join(left, "a")
@@ -295,5 +295,5 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def drop_near(docs: DataFrame) -> DataFrame:
     """One document of each class, with the columns of ``docs``; rows without an id stay."""
-    gone = near_classes(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    gone = small_or_joined(near_classes(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
