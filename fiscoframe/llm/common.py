@@ -17,7 +17,7 @@ from ..session import stage
 #: Ids that are sent to all tasks at most: 24 MB as a hash table.
 BROADCAST_IDS = 1_000_000
 #: Characters that one Python slice of an Arrow batch holds at most (one longer text is a slice of its own).
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_500_000
 
 
 def ship(module: str) -> None:

@@ -28,7 +28,7 @@ ship(__name__)
 
 MARK = "▁"
 #: Words that a task remembers before it starts its table anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -315,7 +315,7 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
 
     def run(batches):
         encoder = Encoder(model)
-        for piece in slices(batches, most=2_000_000):
+        for piece in slices(batches, most=1_000_000):
             ids, counts = encoder.encode(piece.column("text").to_pylist())
             columns = {
                 "doc_id": piece.column("doc_id"),
