@@ -36,8 +36,8 @@ SAMPLE_PER_CLASS = {1: 1500, 0: 2500}
 SAMPLE_CHARS = 20_000
 #: Passes over the sample; a small sample gets more of them, so that there are LEAST_STEPS steps.
 EPOCHS, LEAST_STEPS, BATCH = 8, 500, 64
-#: Windows that are run at once, and words whose gates a task remembers.
-BLOCK, REMEMBERED = 1024, 300_000
+#: Windows that are run at once, words whose gates are computed at once, and words that a task remembers.
+BLOCK, WORDS, REMEMBERED = 1024, 50_000, 300_000
 
 
 def char_groups(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +170,7 @@ class Network:
             memory.clear()
         places, rows = memory.setdefault("places", {}), memory.get("rows")
         if new := [w for w in [*distinct, ""] if w not in places]:
-            made = self.gates(self.inputs(new)[0])
+            made = np.concatenate([self.gates(self.inputs(new[a : a + WORDS])[0]) for a in range(0, len(new), WORDS)])
             base = len(places)
             places.update((w, base + i) for i, w in enumerate(new))
             memory["rows"] = rows = made if rows is None else np.concatenate([rows, made])
