@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -47,14 +48,24 @@ def small_or_joined(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def give_back() -> None:
+    """Return memory that earlier work of this Python worker has freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds about ``most`` bytes of ``column``; every row is in exactly one piece."""
+    give_back()
     for batch in batches:
         lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         group = np.cumsum(lengths, dtype=np.int64) // most
         edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:

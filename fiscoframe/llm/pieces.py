@@ -315,7 +315,7 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
 
     def run(batches):
         encoder = Encoder(model)
-        for piece in slices(batches, most=1_000_000):
+        for piece in slices(batches, most=500_000):
             ids, counts = encoder.encode(piece.column("text").to_pylist())
             columns = {
                 "doc_id": piece.column("doc_id"),
