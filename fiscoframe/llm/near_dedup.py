@@ -10,7 +10,8 @@ less their mean load; only shares of documents above ``RARE`` matter, which the
 2. Documents with the same sequence of words become one node with the smallest id.
 3. Bands of ``ROWS`` samples give buckets.  Each node is compared with the first node of each of its
    buckets; then with the next nodes of the bucket, in the order of another band, unless they are linked
-   already.  Nothing lists all pairs of a bucket.
+   already.  Nodes of larger buckets that still hold several classes are then joined on rare shingles by an
+   exact prefix filter.  Nothing lists all pairs of a bucket.
 4. Pairs whose samples agree in fewer than ``PROMISING`` cases are no candidates (a pair at the
    threshold fails this about once in ten million); the others are verified by weighted Jaccard
    similarity of the whole texts, at least ``THRESHOLD``.
@@ -46,6 +47,8 @@ FLOOR = 0.75
 FOLLOWING = 3
 #: Nodes of a bucket that are put in order together.
 RUN = 20_000
+#: Relative room for rounding in bounds of sums of weights.
+SLACK = 1e-6
 
 
 def gamma_quantiles(n: int = 1 << 16) -> np.ndarray:
@@ -227,6 +230,53 @@ def verified(pairs: DataFrame, docs: DataFrame, idf) -> DataFrame:
     return map_slices(rows.select("a", "b", "text_a", "text_b"), work, "a long, b long, similarity double", column="text_b").filter(F.col("similarity") >= THRESHOLD)
 
 
+def rare_shingles(bodies: DataFrame, idf) -> DataFrame:
+    """node, shingle, total, rest: the shingles among which a text shares its first one with any partner at the threshold.
+
+    Shingles stand in one order for all texts, those of few texts of ``bodies`` first.  What two texts share lies within
+    ``rest``, the weight from their first common shingle on, in both; so only shingles that
+    leave at least ``THRESHOLD`` of the ``total`` weight are needed.
+    """
+    held, _ = document_frequencies(bodies)
+    held = bodies.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches):
+        for piece in slices(batches):
+            shingles, counts, offsets, _ = shingle_counts(piece.column("text").to_pylist())
+            slot = (shingles >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+            weights, often = counts * idf.value[slot].astype(np.float64), held.value[slot]
+            rows = [(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), np.zeros(0, np.int64))]
+            for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                order = a + np.lexsort((shingles[a:b], often[a:b]))
+                total = weights[a:b].sum()
+                rest = total - np.cumsum(weights[order]) + weights[order]
+                n = int((rest >= THRESHOLD * total * (1 - SLACK)).sum())
+                rows.append((shingles[order[:n]], np.full(n, total), rest[:n], np.full(n, k)))
+            token, total, rest, row = (np.concatenate(c) for c in zip(*rows, strict=True))
+            yield pa.RecordBatch.from_pydict({"node": piece.column("doc_id").take(pa.array(row)), "shingle": pa.array(token.view(np.int64)), "total": pa.array(total), "rest": pa.array(rest)})
+
+    return bodies.select("doc_id", "text").mapInArrow(run, "node long, shingle long, total double, rest double")
+
+
+def left_over(held: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, idf) -> DataFrame | None:
+    """Verified links between classes that share a bucket in which not all pairs were compared; None if there is no such bucket."""
+    labels = classes(links)
+    large = held.filter(F.col("held") > FOLLOWING + 1).join(labels, "node", "left").select("node", "band", "key", F.coalesce("label", "node").alias("label"))
+    mixed = large.groupBy("band", "key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most")
+    some = stage(large.join(mixed.select("band", "key"), ["band", "key"]).select("node", "label").distinct())
+    if some.isEmpty():
+        return None
+    bodies = texts(docs).join(small_or_joined(some.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi")
+    rows = stage(rare_shingles(stage(bodies.dropDuplicates(["doc_id"])), idf).join(some, "node"))
+    several = rows.groupBy("shingle").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("shingle")
+    rows = stage(rows.join(several, "shingle"))
+    of = lambda c: rows.select("shingle", F.col("node").alias(c), F.col("label").alias(f"label_{c}"), F.col("total").alias(f"total_{c}"), F.col("rest").alias(f"rest_{c}"))
+    shared = F.lit(THRESHOLD / (1 + THRESHOLD) * (1 - SLACK)) * (F.col("total_a") + F.col("total_b"))
+    reach = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & (F.least("rest_a", "rest_b") >= shared)
+    pairs = of("a").join(of("b"), "shingle").filter(reach).select("a", "b").distinct()
+    return stage(verified(stage(promising(pairs, nodes)), docs, idf))
+
+
 def classes(links: DataFrame) -> DataFrame:
     """node, label for every node of a link: the smallest node that links lead to.
 
@@ -264,7 +314,9 @@ def near_links(nodes: DataFrame, docs: DataFrame, idf) -> DataFrame:
     apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
     pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(apart).select("a", "b")
     more = stage(verified(stage(promising(pairs, nodes)), docs, idf))
-    return links.unionByName(more)
+    links = links.unionByName(more)
+    rest = left_over(held, links, nodes, docs, idf)
+    return links if rest is None else links.unionByName(rest)
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

@@ -217,6 +217,40 @@ def test_large_groups_of_near_copies_are_one_class(spark):
     assert (got.loc[300:, "class_id"] == got.loc[300:].index).all()
 
 
+def test_pairs_inside_a_family_just_below_the_threshold(spark, monkeypatch):
+    """Most pairs of the family share buckets at about 0.72; forty pairs hold two changes together and reach 0.8."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(344)]
+    places = rng.integers(4, 64, (400, 5))
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for k in range(5):
+            own = i % 40 if k < 2 and i < 80 else i
+            text[68 * k + places[own, k]] = f"x{own}_{k}"
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, " ".join(f"v{i}_{j}" for j in range(50))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    idf = near_dedup.damped_idf(*near_dedup.document_frequencies(docs))
+    found, counts, offsets, _ = near_dedup.shingle_counts([t for _, t in rows[:400]])
+    names, column = np.unique(found, return_inverse=True)
+    weight = idf[(names >> np.uint64(64 - near_dedup.TABLE_BITS)).astype(np.int64)].astype(float)
+    x = np.zeros((400, len(names)))
+    x[np.repeat(np.arange(400), np.diff(offsets)), column] = counts
+    both = (x * weight) @ x.T
+    total = np.diag(both)
+    alike = both / (total[:, None] + total - both)
+    true = [(a, b) for a, b in zip(*np.nonzero(np.triu(alike >= near_dedup.THRESHOLD, 1)), strict=True)]
+    assert 40 <= len(true) < 60 and np.median(alike) > 0.7
+    label = {i: i for i in range(400)}
+    for a, b in true:
+        low, high = sorted((label[a], label[b]))
+        label = {i: low if c == high else c for i, c in label.items()}
+    monkeypatch.setattr(near_dedup, "RUN", 50)
+    got = near_dedup.near_classes(docs).toPandas().set_index("doc_id")["class_id"]
+    assert {i: got[i] for i in range(400)} == label
+
+
 def test_stages_keep_odd_rows_and_columns(odd, labels):
     near, exact = near_dedup.drop_near(odd), exact_dedup.drop_exact(odd)
     assert near.columns == exact.columns == odd.columns
