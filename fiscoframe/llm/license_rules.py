@@ -1,7 +1,7 @@
 """Signature rules for license scans: names, phrases around names, and notices.
 
 A rule is a regular expression over the words of a text, joined by one space with a space at either
-end.  Its keyword must occur before the expression is tried.  Of detections where one contains the other, the
+end.  Its keyword must occur before the expression is tried, so every match holds it.  Of detections where one contains the other, the
 one of higher priority stays.
 """
 
@@ -49,7 +49,7 @@ LICENSES = (
     ("lgpl-2.0", "general public", r"(?:gnu )?(?:lesser|library) general public license (?:version |v ?)2(?: 0)?", r"lgpl v?2(?: 0)?(?: or later| only)?"),
     ("lgpl-2.1", "general public", r"(?:gnu )?(?:lesser|library) general public license (?:version |v ?)2 1", r"lgpl v?2 1(?: or later| only)?"),
     ("lgpl-3.0", "general public", r"(?:gnu )?lesser general public license (?:version |v ?)3(?: 0)?", r"lgpl v?3(?: 0)?(?: or later| only)?"),
-    ("mit", "mit", r"(?:mit|expat) license", r"mit"),
+    ("mit", "licen", r"(?:mit|expat) license", r"mit"),
     ("mit-0", "mit", r"mit no attribution(?: license)?", r"mit 0"),
     ("mpl-1.1", "mozilla", r"mozilla public license (?:version |v ?)?1 1", r"mpl 1 1"),
     ("mpl-2.0", "mozilla", r"mozilla public license (?:version |v ?)?2 0", r"mpl 2 0"),
@@ -117,13 +117,13 @@ def rules() -> list[Rule]:
     """All rules: five phrasings for each license, and the notices."""
     out = [Rule(*n) for n in NOTICES]
     for label, keyword, name, tag in LICENSES:
-        head = tag.split("(")[0].split("[")[0].split(" ")[0].rstrip("?") or keyword
+        head = tag.split("(")[0].split("[")[0].split(" ")[0].rstrip("?")
         out += [
             Rule(f"{label}:name", label, 2, keyword, name),
             Rule(f"{label}:grant", label, 3, keyword, rf"{VERB} (?:\S+ ){{0,3}}?under (?:the )?(?:terms of )?(?:the )?{name}"),
             Rule(f"{label}:see", label, 3, keyword, rf"(?:see|read|subject to|terms of|conditions of|copy of|compliance with) (?:the )?{name}"),
             Rule(f"{label}:tag", label, 4, "spdx", rf"spdx license identifier {tag}"),
-            Rule(f"{label}:field", label, 3, "license", rf"licen[cs]es? (?:is |expression |type |text |id |name )?(?:the )?{tag}"),
-            Rule(f"{label}:short", label, 2, head if head.isalnum() else keyword, rf"(?:under|the) {tag} licen[cs]e"),
+            Rule(f"{label}:field", label, 3, "licen", rf"licen[cs]es? (?:is |expression |type |text |id |name )?(?:the )?{tag}"),
+            Rule(f"{label}:short", label, 2, head if head.isalnum() else "licen", rf"(?:under|the) {tag} licen[cs]e"),
         ]
     return out

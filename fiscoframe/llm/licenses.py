@@ -21,8 +21,8 @@ from .license_rules import rules
 
 # Phrases with their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: One of these stands in every text that a rule can match.
-GATES = ("licen", "copyleft", "public domain", "rights reserved", "spdx", "permission", "redistribut", "warranty", "endorse", "creativecommons", "proprietary", "opensource", "commons", "cc0", "wtfpl", "gnu", "apache", "mozilla", "boost", "mit no attribution")
+#: One of these stands in every text that a rule can match; each lies inside one word, as words may be apart by any separators.
+GATES = ("licen", "copyleft", "domain", "reserved", "spdx", "permission", "redistribut", "warranty", "endorse", "creativecommons", "proprietary", "opensource", "commons", "cc0", "wtfpl", "gnu", "apache", "mozilla", "boost", "attribution")
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Confidence of one surviving detection, by priority from 1.
 CONFIDENCE = (0.4, 0.6, 0.8, 0.9, 0.97)

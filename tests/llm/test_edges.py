@@ -154,6 +154,49 @@ def test_decoding_any_ids():
         assert pieces.decode(v, np.array(ids), np.array([len(ids)])) == [library.decode(ids)]
 
 
+def expansions(pattern: str, rng) -> str:
+    """A random text that a rule's expression matches."""
+    from re import _parser
+
+    def of(parsed) -> str:
+        out = ""
+        for op, value in parsed:
+            kind = str(op)
+            if kind == "LITERAL":
+                out += chr(value)
+            elif kind == "SUBPATTERN":
+                out += of(value[-1])
+            elif kind == "BRANCH":
+                out += of(value[1][rng.integers(len(value[1]))])
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += "".join(of(value[2]) for _ in range(rng.integers(value[0], min(int(value[1]), value[0] + 2) + 1)))
+            elif kind == "IN":
+                first = value[rng.integers(len(value))]
+                out += {"LITERAL": lambda v: chr(v), "RANGE": lambda v: chr(v[0]), "CATEGORY": lambda v: "7"}[str(first[0])](first[1])
+            else:
+                raise AssertionError(kind)
+        return out
+
+    return of(_parser.parse(pattern))
+
+
+def test_no_match_is_stopped_by_a_gate():
+    from fiscoframe.llm.license_rules import rules
+
+    rng = np.random.default_rng(5)
+    for rule in rules():
+        for _ in range(150):
+            words = expansions(rule.pattern, rng)
+            assert rule.keyword in words, (rule.name, words)
+            assert any(g in words.replace(" ", "\n") for g in licenses.GATES), (rule.name, words)
+
+
+def test_notices_over_line_ends(spark):
+    texts = ["All rights\nreserved", "ALL RIGHTS  RESERVED.", "released into the public\n * domain", "Licence: MIT", "Expat License", "under PSF-2.0 licence"]
+    got = licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["labels"] for r in sorted(got, key=lambda r: r["doc_id"])] == ["all-rights-reserved"] * 2 + ["public-domain", "mit", "mit", "psf-2.0"]
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header>Site</header><nav><ul><li>Home</li></ul></nav>
 <div class="cookie-notice">We use cookies</div><main><article><h1>A &amp; B</h1><p>First  paragraph<br>goes on &lt;here&gt;.
 <div class="ad-banner">Buy</div><p>Second <b>one</b><p hidden>secret</p><ul><li>item 1<li>item 2</ul><form>Name<input></form>
