@@ -60,6 +60,7 @@ class Encoder:
 
     The tokenizer never joins a space with what stands before it, so a text falls into chunks
     that each begin with a space that a non-space follows; equal chunks have equal ids.
+    A text that holds an added token (``<|endoftext|>``) is encoded whole, as such tokens may reach across chunks.
     """
 
     def __init__(self, path: str):
@@ -69,7 +70,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.forget()
 
     def forget(self) -> None:
@@ -145,7 +147,10 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by the end id, and the number of ids of each text."""
-        codes, distinct, offsets = flat_words([self.chunks(t) for t in batch])
+        marked = [k for k, t in enumerate(batch) if self.added is not None and self.added.search(t)]
+        encoded = self.tokenizer.encode_batch_fast([batch[k] for k in marked], add_special_tokens=False)
+        whole = {k: np.array(e.ids, np.int32) for k, e in zip(marked, encoded, strict=True)}
+        codes, distinct, offsets = flat_words([[] if k in whole else self.chunks(t) for k, t in enumerate(batch)])
         if len(self.known) + len(distinct) > REMEMBERED:
             self.keep_frequent(len(distinct))
         if new := [w for w in distinct if w not in self.known]:
@@ -156,9 +161,15 @@ class Encoder:
         lengths = self.lengths[place]
         total = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         counts = np.diff(total) + 1
+        for k, ids in whole.items():
+            counts[k] += len(ids)
+        ends = np.cumsum(counts)
         out = np.full(int(counts.sum()), END, dtype=np.int32)
         body = np.ones(len(out), dtype=bool)
-        body[np.cumsum(counts) - 1] = False
+        body[ends - 1] = False
+        for k, ids in whole.items():
+            out[ends[k] - counts[k] : ends[k] - 1] = ids
+            body[ends[k] - counts[k] : ends[k] - 1] = False
         out[body] = self.ids[spread(self.starts[place], lengths)]
         return out, counts
 

@@ -118,6 +118,17 @@ def test_chunks_encode_like_the_whole_text(text):
     assert ids[: counts[0]].tolist() == [*whole, 0]
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>\n\n<|endoftext|><|endoftext|> y.", "< |endoftext|> <|endoftext| >", "plain <| text |>."])
+def test_added_tokens_encode_like_an_untouched_library(text):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    batch = ["first one", text, "", "then " + text, "last one."]
+    ids, counts = token_files.Encoder(BYTES).encode(batch)
+    ends = np.cumsum(counts)
+    assert [ids[e - c : e].tolist() for e, c in zip(ends, counts, strict=True)] == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in batch]
+
+
 @pytest.mark.parametrize(
     "text",
     ["", " ", "   ", " " * 37 + "x", "a▁b ▁ c", "​z", "ab" * 300, "aaaaaaaaaaaaaaaa", "héllo wörld ﬁ①　", "1234567 89", "\U0001f600\U0001f601 á", "\x00\x01", "the  the   thethethe\n\n the", "don't...!!!---===", "\r\n\t x"],
