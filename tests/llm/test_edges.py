@@ -224,6 +224,22 @@ def test_page_without_a_marked_article():
     assert html_text.main_text(page).count("\n") >= 4 and "Menu" not in html_text.main_text(page)
 
 
+def test_short_parts_of_a_pretty_printed_page_stay():
+    body = "\n".join(f"<p>\n{'text ' * 40}{i}\n</p>" for i in range(5))
+    page = f"<body>\n<div>\n<h1>\nTitle\n</h1>\n</div>\n<div>\n<div class=body>\n<p>Lead</p>\n</div>\n</div>\n<div>\n<div>\n{body}\n</div>\n</div>\n<ul class=menu>\n<li>a\n<li>b\n<li>c\n</ul>\n<div>\n<p>\nEnd\n</p>\n</div>\n</body>"
+    got = html_text.main_text(page).split("\n")
+    assert (got[:2], got[-1], len(got)) == (["Title", "Lead"], "End", 8)
+    assert html_text.main_text(page.replace("\n", "")).split("\n") == got
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content has-sidebar'", "div class='no-sidebar'", "div class='header-fixed'", "div class='page social-policy'", "div class='comments-open'", "div id=sidebar-left", "form action=x"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_named_like_boilerplate(wrapper, inner):
+    text = "<p>One long paragraph of the page.</p><p>Another long paragraph of the page.</p>"
+    page = f"<nav>Home</nav><{wrapper}><div class=sidebar>Side</div><{inner}><h1>T</h1>{text}<div class='share-buttons'>Share</div></{inner}><div id=comments>Nice</div></{wrapper.split()[0]}><div class=site-footer>Me</div>"
+    assert html_text.main_text(page) == "T\nOne long paragraph of the page.\nAnother long paragraph of the page."
+
+
 @pytest.mark.parametrize("page", ["", "no markup at all", "<", "<p", "<p>a<", "<!--", "<script>", "</p></div>", "<a href='>'>x</a>", "<p>" * 2000])
 def test_odd_pages_do_not_crash(page):
     assert isinstance(html_text.main_text(page), str)
