@@ -10,7 +10,7 @@ from fiscoframe.operators import sets
 from fiscoframe.operators.aggregates import with_distinct_count, with_group_size
 from fiscoframe.operators.paging import get_page, page_total, last_rows, page_rows
 from fiscoframe.operators.predicates import Condition
-from fiscoframe.operators.ranking import number_rows, numbered_id
+from fiscoframe.operators.ranking import nulls_last, number_rows, numbered_id
 from fiscoframe.operators.versioning import (
     all_versions,
     last_event,
@@ -131,7 +131,7 @@ def e08(t):
 def e09(t):
     text = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
     rows = t["orders"].withColumn("d", text)
-    numbered = number_rows(rows, ["o_custkey"], [F.col("d").asc_nulls_last(), F.col("o_orderkey").asc()])
+    numbered = number_rows(rows, ["o_custkey"], [*nulls_last(F.col("d")), F.col("o_orderkey")])
     return numbered.select("o_orderkey", numbered_id("item_").alias("item_seq_id"))
 
 
@@ -142,7 +142,7 @@ def e09(t):
 def e09_large(t):
     order = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     rows = t["lineitem"].select(F.lit("0").alias("cnpj"), *order)
-    return number_rows(rows, ["cnpj"], [F.col(c).asc() for c in order]).drop("cnpj", "l_shipdate")
+    return number_rows(rows, ["cnpj"], [F.col(c) for c in order]).drop("cnpj", "l_shipdate")
 
 
 @check("E10_group_size", "SELECT p_partkey, count(*) OVER (PARTITION BY p_name) AS unidades FROM part")
@@ -156,7 +156,7 @@ def e10(t):
 )
 def f01(t):
     rows = t["part"].withColumns({"g": F.lit(0), "d": F.when(F.col("p_size") > 10, F.col("p_name"))})
-    order = [F.col("d").asc_nulls_last(), F.col("p_brand").asc_nulls_last(), F.col("p_partkey").asc()]
+    order = [*nulls_last(F.col("d")), *nulls_last(F.col("p_brand")), F.col("p_partkey")]
     return number_rows(rows, ["g"], order, "posicao").select("p_partkey", "posicao")
 
 
@@ -168,10 +168,10 @@ def f01(t):
 def f02(t):
     rows = t["lineitem"].withColumn("n", F.when(F.col("l_returnflag") != "N", (F.col("l_linenumber") * 7).cast("string")))
     order = [
-        F.when(F.col("n").isNull(), 1).otherwise(2).asc(),
-        F.col("n").try_cast("bigint").asc(),
-        F.col("l_partkey").desc(),
-        F.col("l_suppkey").asc(),
+        F.when(F.col("n").isNull(), 1).otherwise(2),
+        F.col("n").try_cast("bigint"),
+        -F.col("l_partkey"),
+        F.col("l_suppkey"),
     ]
     return number_rows(rows, ["l_orderkey"], order, "posicao").select("l_orderkey", "l_partkey", "l_suppkey", "n", "posicao")
 
@@ -209,7 +209,7 @@ def f04(t):
 )
 def f05(t):
     brands = t["part"].select("p_brand").distinct().withColumn("g", F.lit(0))
-    return number_rows(brands, ["g"], [natural_key(F.col("p_brand")).asc()], "posicao").select("p_brand", "posicao")
+    return number_rows(brands, ["g"], [natural_key(F.col("p_brand"))], "posicao").select("p_brand", "posicao")
 
 
 @check("F06_last_rows", f"SELECT o_orderkey, {dbl('o_totalprice')} FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 200")

@@ -161,7 +161,7 @@ def _several_descriptions(items: DataFrame) -> DataFrame:
 
 def code_suffixes(items: DataFrame) -> DataFrame:
     """One row per item of such codes with its running suffix ``code__n``."""
-    order = [F.col("descricao").asc_nulls_first(), F.col(KEY).asc()]
+    order = [F.col("descricao"), F.col(KEY)]
     numbered = number_rows(_several_descriptions(items), ["cnpj", "cod_normalizado"], order)
     suffix = F.concat(F.col("cod_normalizado"), F.lit("__"), F.col("seq").cast("string"))
     return numbered.withColumn("cods_desagregados", suffix)

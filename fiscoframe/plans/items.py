@@ -11,7 +11,7 @@ from fiscoframe.functions import text
 from fiscoframe.functions.keys import item_key
 from fiscoframe.operators.aggregates import sorted_distinct
 from fiscoframe.operators.lookup import ClassificationTables, classify
-from fiscoframe.operators.ranking import number_rows, numbered_id
+from fiscoframe.operators.ranking import nulls_last, number_rows, numbered_id
 from fiscoframe.operators.sets import union_conformed
 from fiscoframe.schemas import ITEM_KEY_FIELDS, TRANSACTION, VALUE_FIELDS
 from fiscoframe.sources.readers import read_inventory_items, read_invoice_items, read_ledger_items
@@ -88,7 +88,7 @@ def aggregate_items(rows: DataFrame, files: DataFrame | None = None) -> DataFram
 
 
 def _display_order() -> list[Column]:
-    return [F.col("descricao").asc_nulls_last(), F.col("codigo").asc_nulls_last(), F.col(KEY).asc()]
+    return [*nulls_last(F.col("descricao")), *nulls_last(F.col("codigo")), F.col(KEY)]
 
 
 def item_characteristics(rows: DataFrame, files: DataFrame | None = None, version: int = 2) -> DataFrame:

@@ -72,7 +72,7 @@ def products(movements: DataFrame) -> DataFrame:
         sorted_distinct(F.col("gtin")).alias("lista_gtin"),
         sorted_distinct(F.col("unid")).alias("lista_unid"),
     )
-    numbered = number_rows(grouped, ["cnpj"], [F.col("descricao_normalizada").asc_nulls_first()])
+    numbered = number_rows(grouped, ["cnpj"], [F.col("descricao_normalizada")])
     rest = [c for c in grouped.columns if c != "cnpj"]
     return numbered.select("cnpj", numbered_id("id_produto_").alias("chave_produto"), *rest)
 
@@ -131,7 +131,7 @@ def grouped_products(product_table: DataFrame, assignment: DataFrame | None = No
 
     groups = assignment.groupBy("cnpj").agg(F.count_distinct("id_agrupado").alias("__groups"))
     rest = product_table.join(assignment, ["cnpj", "chave_produto"], "left_anti")
-    rest = number_rows(rest, ["cnpj"], [_position(), F.col("chave_produto").asc()])
+    rest = number_rows(rest, ["cnpj"], [_position(), F.col("chave_produto")])
     rest = rest.join(groups, "cnpj", "left").withColumn(
         "seq", F.col("seq") + F.coalesce(F.col("__groups"), F.lit(0))
     )

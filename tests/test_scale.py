@@ -22,7 +22,7 @@ def test_numbering_with_a_hot_group(spark):
     rows = [("hot" if i % 3 == 0 else f"g{rng.randrange(50)}", rng.randrange(1000), i) for i in range(6000)]
     rows += [(None, 5, 10_000), (None, 4, 10_001)]
     df = spark.createDataFrame(rows, "g string, v int, i int").repartition(5)
-    got = {(r.g, r.i): r.seq for r in number_rows(df, ["g"], [F.col("v").asc(), F.col("i").asc()], slices=7).collect()}
+    got = {(r.g, r.i): r.seq for r in number_rows(df, ["g"], [F.col("v"), F.col("i")], rows_per_slice=800).collect()}
     expected = {}
     for group in {r[0] for r in rows}:
         for n, (_, _, i) in enumerate(sorted((r for r in rows if r[0] == group), key=lambda r: r[1:]), 1):
