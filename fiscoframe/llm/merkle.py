@@ -26,11 +26,10 @@ from functools import partial
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ranking import number_rows
 from ..session import stage
 from .common import ship
 
@@ -169,20 +168,33 @@ def extended(done: DataFrame, higher: DataFrame, levels: int) -> DataFrame:
     return done.join(higher, F.col("group").eqNullSafe(F.col("of")) & (F.shiftright("place", levels) == F.col("up"))).drop("of", "up")
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    return number_rows(rows, group, order, "place").withColumn("place", F.col("place") - 1)
+def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows with their place in their group, from 0 in the given order, nulls first.
+
+    Rows are stored in ranges of (group, order) with the number of the range, so that the sizes of ranges hold also after a
+    task is rerun; a range adds the rows that its group has in earlier ranges.
+    """
+    ranged = stage(rows.repartitionByRange(F.asc_nulls_first("group"), *[F.asc_nulls_first(c) for c in order]).withColumn("range", F.spark_partition_id()))
+    sizes = ranged.groupBy("group", "range").agg(F.count("*").alias("rows"))
+    earlier = Window.partitionBy("group").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # a group enters a range only if the range before ended inside it: fewer rows than ranges
+    before = sizes.select(F.col("group").alias("of"), F.col("range").alias("at"), F.sum("rows").over(earlier).alias("before")).filter("before > 0")
+    inside = Window.partitionBy("group", "range").orderBy(*[F.asc_nulls_first(c) for c in order])
+    own = ranged.withColumn("place", F.row_number().over(inside) - F.lit(1).cast("long"))
+    joined = own.join(F.broadcast(before), F.col("group").eqNullSafe(F.col("of")) & (F.col("range") == F.col("at")), "left")
+    return joined.withColumn("place", F.col("place") + F.coalesce("before", F.lit(0))).drop("range", "of", "at", "before")
 
 
 def witnessed(leaves: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Rows (group, doc_id, node and any others) with ``steps`` from the leaf to the root, ``subroot`` and ``root``."""
-    done = append_round(numbered(stage(leaves), ["group"], [F.col("doc_id"), F.col("node")]), levels)
+    done = append_round(numbered(stage(leaves), ["doc_id", "node"]), levels)
     blocks = stage(above(tops(done, levels), levels))
     # the subroots are one group of their own
-    subroots = blocks.filter(F.col("place") == 0).select(F.lit(None).cast("string").alias("group"), F.col("group").alias("of"), F.col("subroot").alias("node"))
-    summit = append_round(numbered(subroots, ["group"], [F.col("of")]), levels)
+    subroots = blocks.filter(F.col("place") == 0).select(F.lit(None).cast("string").alias("group"), F.col("group").alias("member"), F.col("subroot").alias("node"))
+    summit = append_round(numbered(subroots, ["member"]), levels)
     over = above(tops(summit, levels), levels).select("group", F.col("place").alias("up"), F.col("steps").alias("further"), F.col("subroot").alias("root"))
     whole = F.concat("steps", "further").alias("last_steps")
-    over = extended(summit.withColumnRenamed("of", "member"), over, levels).select("member", whole, "root")
+    over = extended(summit, over, levels).select("member", whole, "root")
     joined = blocks.join(over, F.col("group").eqNullSafe(F.col("member")))
     higher = joined.select("group", F.col("place").alias("up"), F.concat("steps", "last_steps").alias("further"), "subroot", "root")
     result = extended(done, higher, levels)
