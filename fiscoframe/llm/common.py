@@ -19,6 +19,8 @@ from ..session import stage
 BROADCAST_IDS = 1_000_000
 #: Characters that one Python slice of an Arrow batch holds at most (one longer text is a slice of its own).
 SLICE_CHARS = 1_500_000
+#: Rows that an Arrow batch holds at most.
+BATCH_ROWS, BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(module: str) -> None:
@@ -68,6 +70,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
     give_back()
 
 
+def in_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most BATCH_ROWS rows, unless the session names a number of its own.
+
+    Spark's default of 10 000 whole texts holds tens of megabytes, in the JVM and in Python, for each task at once.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:
     """``mapInArrow`` over slices of bounded size."""
 
@@ -75,7 +88,7 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
         for piece in slices(batches, column):
             yield work(piece)
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, run, schema)
 
 
 def flat_words(parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

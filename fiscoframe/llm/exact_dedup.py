@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import partitions, ship, slices, small_or_joined, texts
+from .common import in_batches, partitions, ship, slices, small_or_joined, texts
 
 ship(__name__)
 
@@ -126,10 +126,10 @@ def build_index(docs: DataFrame, keys: DataFrame, capacity: int = CAPACITY) -> D
     body = texts(docs).select("doc_id", normalised(F.col("text")).alias("text"), F.lit(1).cast("long").alias("n"))
     body = body.withColumn("key", F.xxhash64("text")).withColumn("slot", slot_of(F.col("key"), depth))
     placed = body.join(F.broadcast(slots) if depth <= BROADCAST_DEPTH else slots, "slot")
-    entries = placed.select("slot", "bucket", "key", "doc_id", "n", "text").mapInArrow(fold, ENTRY)
+    entries = in_batches(placed.select("slot", "bucket", "key", "doc_id", "n", "text"), fold, ENTRY)
     owner = F.floor(F.col("slot") * owners / F.lit(2.0**depth)).cast("int")
     owned = entries.repartitionById(owners, owner).sortWithinPartitions("bucket", "key")
-    return stage(owned.select("bucket", "key", "keep_id", "group_size", "text").mapInArrow(own, RECORD))
+    return stage(in_batches(owned.select("bucket", "key", "keep_id", "group_size", "text"), own, RECORD))
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -142,7 +142,21 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``; rows without an id stay."""
-    gone = exact_groups(docs, capacity).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    gone = small_or_joined(gone.select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """One row of each group of equal texts, with the columns of ``docs``.
+
+    Rows are told apart by id and text, so a text whose id also belongs to another text is not lost; of rows
+    that agree in both, one stays, whichever it is.
+    """
+    groups = stage(exact_groups(docs, capacity).groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.first("kept").alias("kept"), F.count("*").alias("rows")))
+    gone = small_or_joined(groups.filter(~F.col("kept")).select("__id", "__sha"))
+    text = F.sha2(normalised(F.coalesce(docs["text"], F.lit(""))), 256)
+
+    def same(other: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(other["__id"]) & (text == other["__sha"])
+
+    again = groups.filter(F.col("kept") & (F.col("rows") > 1)).select("__id", "__sha")
+    if again.isEmpty():
+        return docs.join(gone, same(gone), "left_anti")
+    again = small_or_joined(again)
+    once = docs.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(gone, same(gone), "left_anti").join(again, same(again), "left_anti").unionByName(once)

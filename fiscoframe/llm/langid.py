@@ -173,7 +173,11 @@ def train(docs: DataFrame) -> Network | None:
         return None
     each = min(SAMPLE_PER_LANGUAGE, SAMPLE // len(languages))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = named.filter(F.col("lang").isin(languages) & F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct()
+    # twice as many ids as wanted have a hash below the bound of their language, so that ranking them takes few rows
+    bounds = [(r["lang"], min(2**64 - 1, 2 * each * 2**64 // r["count"]) - 2**63) for r in counts]
+    bounds = docs.sparkSession.createDataFrame(bounds, "of string, bound long")
+    near = named.join(F.broadcast(bounds), (F.col("lang") == F.col("of")) & (F.xxhash64("doc_id") <= F.col("bound")))
+    ids = near.filter("doc_id IS NOT NULL").select("doc_id", "lang").distinct()
     ids = ids.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= each).select("doc_id", "lang")
     # at most SAMPLE ids; of different texts with one id and language the least in code-point order is taken
     chosen = named.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))

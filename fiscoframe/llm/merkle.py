@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
-from .common import ship
+from .common import in_batches, ship
 
 ship(__name__)
 
@@ -143,7 +143,7 @@ def append_round(nodes: DataFrame, levels: int) -> DataFrame:
     placed = blocks.repartition("group", "block").sortWithinPartitions("group", "place").drop("block")
     schema = T.StructType([*placed.schema.fields, T.StructField("steps", STEPS), T.StructField("top", T.StringType())])
     arrow = placed.sparkSession.createDataFrame([], schema).toArrow().schema
-    return stage(placed.mapInArrow(partial(append_blocks, schema=arrow, levels=levels), schema))
+    return stage(in_batches(placed, partial(append_blocks, schema=arrow, levels=levels), schema))
 
 
 def above(blocks: DataFrame, levels: int) -> DataFrame:

@@ -30,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import number_rows
 from ..session import stage
-from .common import flat_words, map_slices, mix, ship, shingle_hashes, slices, small_or_joined, texts, word_hashes
+from .common import flat_words, in_batches, map_slices, mix, ship, shingle_hashes, slices, small_or_joined, texts, word_hashes
 
 ship(__name__)
 
@@ -43,6 +44,8 @@ TABLE_BITS = 20
 TABLE_CHUNK = 4096
 RARE = 0.002
 FLOOR = 0.75
+#: Standard errors by which a frequency counts as less than measured.
+SURE = 4.5
 #: Following nodes of a bucket that a node is compared with.
 FOLLOWING = 3
 #: Nodes of a bucket that are put in order together.
@@ -99,7 +102,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(totals), pa.int32()), "counts": pa.array([x.astype("<i8").tobytes() for x in totals.values()], pa.binary())})
 
     schema = "chunk int, counts binary"
-    summed = texts(docs).select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
+    summed = in_batches(in_batches(texts(docs).select("text"), count, schema).repartition("chunk"), add, schema)
     table, n = np.zeros(size, np.int64), 0
     for r in summed.collect():  # the table, 8 MB
         values = np.frombuffer(bytes(r["counts"]), "<i8")
@@ -111,11 +114,15 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def damped_idf(table: np.ndarray, n: int) -> np.ndarray:
-    """Weight by counter: 1 up to the share RARE of documents, FLOOR for all documents, logarithmic between."""
-    share = np.maximum(table - table.mean(), 1) / max(1, n)
-    rare = np.clip(np.log(1 / np.minimum(1, share)) / np.log(1 / RARE), 0, 1)
-    # a share of few documents is no frequent one, however small the table
-    return np.where(table <= 20, 1.0, FLOOR + (1 - FLOOR) * rare).astype(np.float32)
+    """Weight by counter: 1 up to the share RARE of documents, FLOOR for all documents, logarithmic between.
+
+    The share is a lower bound of what the count stands for, by the same formula at every size.
+    """
+    count = np.maximum(table - table.mean(), 0)
+    # the share that the count proves at SURE standard errors: near nothing for few documents, the share itself for many
+    least = count + SURE**2 / 2 - SURE * np.sqrt(count + SURE**2 / 4)
+    share = np.clip(least / max(1, n), 1e-12, 1)
+    return (FLOOR + (1 - FLOOR) * np.clip(np.log(share) / np.log(RARE), 0, 1)).astype(np.float32)
 
 
 class Sampler:
@@ -169,7 +176,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 {"doc_id": piece.column("doc_id"), "sequence": pa.array(digests, pa.binary()), "n_shingles": pa.array(np.diff(offsets)), "samples": pa.ListArray.from_arrays(ends, pa.array(drawn.reshape(-1)))}
             )
 
-    return texts(docs).mapInArrow(run, SIGNATURE)
+    return in_batches(texts(docs), run, SIGNATURE)
 
 
 def entries(nodes: DataFrame) -> DataFrame:
@@ -255,7 +262,7 @@ def rare_shingles(bodies: DataFrame, idf) -> DataFrame:
             token, total, rest, row = (np.concatenate(c) for c in zip(*rows, strict=True))
             yield pa.RecordBatch.from_pydict({"node": piece.column("doc_id").take(pa.array(row)), "shingle": pa.array(token.view(np.int64)), "total": pa.array(total), "rest": pa.array(rest)})
 
-    return bodies.select("doc_id", "text").mapInArrow(run, "node long, shingle long, total double, rest double")
+    return in_batches(bodies.select("doc_id", "text"), run, "node long, shingle long, total double, rest double")
 
 
 def left_over(held: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame, idf) -> DataFrame | None:
@@ -319,11 +326,40 @@ def near_links(nodes: DataFrame, docs: DataFrame, idf) -> DataFrame:
     return links if rest is None else links.unionByName(rest)
 
 
+def distinct_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``__key``, a number that no two texts share; and the ids of keys that are no ids, if there are any.
+
+    The key is the id, but for ids that several texts have: those texts get numbers above all ids.
+    """
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    seen = keyed.filter("__id IS NOT NULL").groupBy("__id").agg(F.min("__hash").alias("least"), F.max("__hash").alias("most"))
+    several = seen.filter("least < most").select(F.col("__id").alias("__of"))
+    if several.isEmpty():
+        return keyed.withColumnRenamed("__id", "__key").drop("__hash"), None
+    texts_of = keyed.join(several, F.col("__id") == F.col("__of"), "left_semi").select(F.col("__id").alias("of"), F.col("__hash").alias("hash")).distinct()
+    above = seen.agg(F.max("__id")).first()[0]
+    numbered = stage(number_rows(stage(texts_of), [], [F.col("of"), F.col("hash")]).select("of", "hash", (F.col("seq") + above).alias("number")))
+    joined = keyed.join(numbered, (F.col("__id") == F.col("of")) & (F.col("__hash") == F.col("hash")), "left")
+    return joined.withColumn("__key", F.coalesce("number", "__id")).drop("__id", "__hash", "of", "hash", "number"), numbered.select("number", "of")
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, n_links, kept for every row.
 
-    ``n_links`` counts the verified links of the row's node; copies of one word sequence share a node.
+    ``n_links`` counts the verified links of the row's node; copies of one word sequence share a node.  Texts that share an id
+    are treated each; such a class without other ids is named by their common id.
     """
+    rows, renamed = distinct_ids(docs)
+    found = keyed_classes(rows.select(F.col("__key").alias("doc_id"), "text"))
+    if renamed is None:
+        return found
+    own, of_class = (renamed.select(F.col("number").alias(f"n_{c}"), F.col("of").alias(f"of_{c}")) for c in ("doc", "class"))
+    found = found.join(own, F.col("doc_id") == F.col("n_doc"), "left").join(of_class, F.col("class_id") == F.col("n_class"), "left")
+    return found.select(F.coalesce("of_doc", "doc_id").alias("doc_id"), F.coalesce("of_class", "class_id").alias("class_id"), "class_size", "n_links", "kept")
+
+
+def keyed_classes(docs: DataFrame) -> DataFrame:
+    """The same of documents whose ids belong to one text each."""
     spark = docs.sparkSession
     table, n = document_frequencies(docs)
     idf = spark.sparkContext.broadcast(damped_idf(table, n))
@@ -346,6 +382,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def drop_near(docs: DataFrame) -> DataFrame:
-    """One document of each class, with the columns of ``docs``; rows without an id stay."""
-    gone = small_or_joined(near_classes(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """One document of each class, with the columns of ``docs``; rows without an id stay, and repeated rows stay together."""
+    rows, _ = distinct_ids(docs)
+    gone = keyed_classes(rows.select(F.col("__key").alias("doc_id"), "text")).filter(~F.col("kept"))
+    gone = small_or_joined(gone.select(F.col("doc_id").alias("__gone")).distinct())
+    return rows.join(gone, F.col("__key") == F.col("__gone"), "left_anti").select(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_words, ship, slices, spread, texts
+from .common import flat_words, in_batches, ship, slices, spread, texts
 
 ship(__name__)
 
@@ -328,4 +328,4 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
                 columns["ids"] = pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_pydict(columns)
 
-    return texts(docs).select("doc_id", F.col("text")).mapInArrow(run, schema)
+    return in_batches(texts(docs), run, schema)

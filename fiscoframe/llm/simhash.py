@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_words, mix, partitions, ship, slices, spread, table, texts, word_hashes
+from .common import flat_words, in_batches, mix, partitions, ship, slices, spread, table, texts, word_hashes
 
 ship(__name__)
 
@@ -166,7 +166,7 @@ def simhash(docs: DataFrame) -> DataFrame:
             if own_ids:
                 yield compared(own_ids, own_texts, following)
 
-    return ordered.select("carried", "doc_id", "text").mapInArrow(run, OUT)
+    return in_batches(ordered.select("carried", "doc_id", "text"), run, OUT)
 
 
 def blocks_of(high, low, blocks: int) -> list:

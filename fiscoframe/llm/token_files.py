@@ -11,24 +11,27 @@ without rows.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage, work_folder
-from .common import flat_words, partitions, ship, slices, spread, texts
+from .common import in_batches, partitions, ship, slices, spread, texts
 
 ship(__name__)
 
 END = 0
-#: Encoded chunks that a task remembers before it starts its table anew.
-REMEMBERED = 400_000
+#: Bytes of encoded chunks that a task remembers before it starts its table anew, and what an entry takes beside its text.
+REMEMBERED, ENTRY = 96 << 20, 150
+#: Bytes of text that are encoded at once: the larger, the fewer different chunks are looked up again.
+PIECE = 4 << 20
+#: Chunks that the library gets as one string.
+JOINED = 1000
 ORC = {
     "orc.compress": "ZSTD",
     "orc.compression.zstd.level": "1",
@@ -41,137 +44,112 @@ ORC = {
 ROW = "doc_id long, n_tokens long, ids array<int>"
 
 
-#: Punctuation that ends chunks; after a letter it is a token sequence of its own.
-TAIL = ".,;:!?\"'()*#$%&|[]{}-_/+=<>@~^"
-MERGED = re.compile(r" (?=\s|\Z)")
-
-
-def written(chunk: str) -> str:
-    """Short form of a chunk: most begin with one space, which is left out; any other gets one in front."""
-    return chunk[1:] if chunk[:1] == " " and chunk[1:2] not in ("", " ") else " " + chunk
-
-
-def chunk_of(word: str) -> str:
-    return word[1:] if word[:1] == " " else " " + word
-
-
 class Encoder:
     """The tokenizer with a memory of chunks.
 
-    The tokenizer never joins a space with what stands before it, so a text falls into chunks
-    that each begin with a space that a non-space follows; equal chunks have equal ids.
-    A text that holds an added token (``<|endoftext|>``) is encoded whole, as such tokens may reach across chunks.
+    A byte-level tokenizer never joins a space with what stands before it, so a text falls into its first word and chunks
+    that each are a space and a word that begins with no white space; equal chunks have equal ids.  New chunks are
+    encoded many in one string; how many bytes each id stands for tells where a chunk ends.
+    Other texts (several spaces in a row, an added token such as ``<|endoftext|>``), and all texts of a tokenizer of
+    another kind, are encoded whole.
     """
 
     def __init__(self, path: str):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]
+        # a piece is written with one character for each byte, an added token as it is
+        sizes = {i: len(t) for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()} | {i: len(t.content.encode()) for i, t in added.items()}
+        self.bytes_of = np.zeros(max(sizes, default=0) + 1, np.int64)
+        self.bytes_of[list(sizes)] = list(sizes.values())
+        split = json.loads(self.tokenizer.to_str())
+        first = split["pre_tokenizer"] or {}
+        self.by_chunk = split["normalizer"] is None and first.get("type") == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
-        self.starts = self.lengths = self.part_starts = self.part_lengths = np.zeros(0, np.int64)
-        self.ids = self.part_ids = np.zeros(0, np.int32)
-        self.seen = np.zeros(0, np.int64)
-
-    def keep_frequent(self, coming: int) -> None:
-        """Make room: only chunks met in several batches stay, none if these are too many as well."""
-        kept = np.flatnonzero(self.seen > 1)
-        words, starts, lengths, ids = list(self.known), self.starts[kept], self.lengths[kept], self.ids
-        self.forget()
-        if len(kept) + coming <= REMEMBERED:
-            self.known = {words[k]: i for i, k in enumerate(kept)}
-            self.starts, self.lengths = np.cumsum(lengths) - lengths, lengths
-            self.ids, self.seen = ids[spread(starts, lengths)], np.ones(len(kept), np.int64)
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        """The chunks of a text in their written form."""
-        words = text.split(" ")
-        if MERGED.search(text) is None:
-            words[0] = " " + words[0]
-            return words
-        out = words[:1]
-        for p in words[1:]:
-            if p and not p[0].isspace():
-                out.append(" " + p)
-            else:
-                out[-1] += " " + p
-        return [written(w) for w in out]
-
-    @staticmethod
-    def split(chunk: str) -> list[str]:
-        """Parts of a chunk that the tokenizer never joins: lines with single breaks, and the punctuation after a letter."""
-        lines = chunk.split("\n")
-        if len(lines) > 1 and not (all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:])):
-            return [chunk]
-        out = []
-        for k, line in enumerate(lines):
-            if k:
-                out.append("\n")
-            core = line.rstrip(TAIL)
-            if core and len(core) < len(line) and core[-1].isalpha():
-                out += [core, line[len(core) :]]
-            else:
-                out.append(line)
-        return out
+        self.taken = self.used = self.held = 0
+        self.starts, self.lengths, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+
+    def whole(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings, one after the other, and the number of each."""
+        encoded = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
+        ids = [np.array(e.ids, np.int32) for e in encoded]
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def chunk_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a space and each word."""
+        chunks = [" " + w for w in words]
+        ids, _ = self.whole(["".join(chunks[a : a + JOINED]) for a in range(0, len(chunks), JOINED)])
+        ends = np.cumsum(self.bytes_of[ids])
+        wanted = np.cumsum(np.fromiter((len(c.encode("utf-8", "replace")) for c in chunks), np.int64, len(chunks)))
+        at = np.searchsorted(ends, wanted)
+        if len(ends) != (at[-1] + 1 if len(at) else 0) or not np.array_equal(ends[at], wanted):
+            return self.whole(chunks)
+        return ids, np.diff(at + 1, prepend=0)
+
+    def room(self, ids: np.ndarray) -> int:
+        """Put ids behind those in use, without keeping them; the place of the first."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(self.used + len(ids), np.int32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        return self.used
 
     def learn(self, new: list[str]) -> None:
-        """Ids of new chunks; each different part is encoded once."""
-        parts = [[" " + w] if w.isalpha() else self.split(chunk_of(w)) for w in new]
-        flat = list(chain.from_iterable(parts))
-        if fresh := list(dict.fromkeys(p for p in flat if p not in self.parts)):
-            encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), np.int32, int(lengths.sum()))
-            self.parts.update(zip(fresh, range(len(self.parts), len(self.parts) + len(fresh)), strict=True))
-            self.part_starts = np.concatenate([self.part_starts, len(self.part_ids) + np.cumsum(lengths) - lengths])
-            self.part_lengths = np.concatenate([self.part_lengths, lengths])
-            self.part_ids = np.concatenate([self.part_ids, ids])
-        at = np.fromiter((self.parts[p] for p in flat), np.int64, len(flat))
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        sizes = self.part_lengths[at]
-        lengths = np.add.reduceat(sizes, np.cumsum(counts) - counts)
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, self.part_ids[spread(self.part_starts[at], sizes)]])
-        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
-
-    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lengths = self.chunk_ids(new)
+        a, b = self.held, self.held + len(new)
+        if b > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros(b, np.int64)]) for x in (self.starts, self.lengths))
+        self.starts[a:b] = self.room(ids) + np.cumsum(lengths) - lengths
+        self.lengths[a:b] = lengths
+        self.used += len(ids)
+        self.held = b
+        self.known.update(zip(new, range(a, b), strict=True))
+        self.taken += sum(map(len, new)) + ENTRY * len(new) + 4 * len(ids)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Places of the words in the memory; -1 for those that begin no chunk."""
+        if self.taken > REMEMBERED:
+            self.forget()
+        if new := [w for w in words if w not in self.known]:
+            self.learn([w for w in new if w and not w[0].isspace()])
+            self.known.update((w, -1) for w in new if not w or w[0].isspace())
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by the end id, and the number of ids of each text."""
-        marked = [k for k, t in enumerate(batch) if self.added is not None and self.added.search(t)]
-        encoded = self.tokenizer.encode_batch_fast([batch[k] for k in marked], add_special_tokens=False)
-        whole = {k: np.array(e.ids, np.int32) for k, e in zip(marked, encoded, strict=True)}
-        codes, distinct, offsets = flat_words([[] if k in whole else self.chunks(t) for k, t in enumerate(batch)])
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self.keep_frequent(len(distinct))
-        if new := [w for w in distinct if w not in self.known]:
-            self.learn(new)
-        place = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))
-        self.seen[place] += 1
-        place = place[codes]
-        lengths = self.lengths[place]
-        total = np.concatenate([[0], np.cumsum(lengths)])[offsets]
-        counts = np.diff(total) + 1
-        for k, ids in whole.items():
-            counts[k] += len(ids)
-        ends = np.cumsum(counts)
-        out = np.full(int(counts.sum()), END, dtype=np.int32)
-        body = np.ones(len(out), dtype=bool)
-        body[ends - 1] = False
-        for k, ids in whole.items():
-            out[ends[k] - counts[k] : ends[k] - 1] = ids
-            body[ends[k] - counts[k] : ends[k] - 1] = False
-        out[body] = self.ids[spread(self.starts[place], lengths)]
-        return out, counts
+        n = len(column)
+        if not n:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        parts = pc.split_pattern(column, " ")
+        offsets, coded = parts.offsets.to_numpy().astype(np.int64), parts.values.dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        place = self.places(words)[codes] if self.by_chunk else np.zeros(len(codes), np.int64)
+        first, doc = offsets[:-1], np.repeat(np.arange(n), np.diff(offsets))
+        place[first] = 0
+        odd = np.zeros(n, bool) if self.by_chunk else np.ones(n, bool)
+        odd[doc[place < 0]] = True
+        for token in self.added:
+            odd |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        # a text is its first word (an odd one all of it), its chunks and the end
+        head = [words[c] for c in codes[first]]
+        for k in np.flatnonzero(odd):
+            head[k] = column[k].as_py()
+        extra, sizes = self.whole(head)
+        base = self.room(np.append(extra, np.int32(END)))
+        starts, lengths = np.full(len(codes) + n, base + len(extra)), np.ones(len(codes) + n, np.int64)
+        own = np.arange(len(codes)) + doc
+        starts[own], lengths[own] = self.starts[place], np.where(odd[doc], 0, self.lengths[place])
+        starts[own[first]], lengths[own[first]] = base + np.cumsum(sizes) - sizes, sizes
+        counts = np.add.reduceat(lengths, own[first])
+        return self.ids[spread(starts, lengths)], counts
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> None:
@@ -181,12 +159,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> None:
 
     def encode(batches):
         encoder = Encoder(tokenizer)
-        for piece in slices(batches):
-            ids, counts = encoder.encode(piece.column("text").to_pylist())
+        for piece in slices(batches, most=PIECE):
+            ids, counts = encoder.encode(piece.column("text"))
             ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(counts), pa.ListArray.from_arrays(ends, pa.array(ids))], names=["doc_id", "n_tokens", "ids"])
 
-    placed.mapInArrow(encode, ROW).write.options(**ORC).mode("overwrite").orc(folder)
+    in_batches(placed, encode, ROW).write.options(**ORC).mode("overwrite").orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str, ids: list[int] | None = None) -> DataFrame:
@@ -216,7 +194,7 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
             yield digests(batch)
 
     rows = read_tokens(spark, folder).select(name.alias("file"), "doc_id", "n_tokens", "ids")
-    rows = rows.mapInArrow(run, "file int, doc_id long, n_tokens long, ids_crc32 long")
+    rows = in_batches(rows, run, "file int, doc_id long, n_tokens long, ids_crc32 long")
     rows = stage(rows)
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     bases = files.select("file", (F.sum("total").over(Window.orderBy("file")) - F.col("total")).alias("base"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_words, mix, ship, slices, spread, texts
+from .common import flat_words, in_batches, mix, ship, slices, spread, texts
 from .quality import THRESHOLD, bounded_sample, held_out, labelled, sigmoid
 
 ship(__name__)
@@ -382,6 +382,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             score = np.full(piece.num_rows, net) if isinstance(net, float) else net.scores(piece.column("text").to_pylist(), memory)
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
-    result = texts(docs).mapInArrow(run, "doc_id long, score double")
+    result = in_batches(texts(docs), run, "doc_id long, score double")
     return result.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 

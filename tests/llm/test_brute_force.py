@@ -73,7 +73,6 @@ def test_op3_round_trip(spark, documents):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got, start = result(spark, "op3_token_files"), 0
     assert len(got) == len(documents)
     for i in sorted(documents.index):

@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from fiscoframe.llm import exact_dedup, html_text, licenses, mixing, near_dedup, pieces, quality, simhash, token_files, toxicity
@@ -113,7 +114,7 @@ def test_token_files_can_be_read_by_id(spark, odd, tmp_path):
 @pytest.mark.parametrize("text", ["", " ", "  a  b ", "a\n b\r\n\t c ", "x" * 500 + " y", "it's  \n\n 'll 12 3", " \n", "a  b", "<|endoftext|> end"])
 def test_chunks_encode_like_the_whole_text(text):
     encoder = token_files.Encoder(BYTES)
-    ids, counts = encoder.encode([text, "again " + text])
+    ids, counts = encoder.encode(pa.array([text, "again " + text]))
     whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert ids[: counts[0]].tolist() == [*whole, 0]
 
@@ -124,7 +125,7 @@ def test_added_tokens_encode_like_an_untouched_library(text):
 
     library = Tokenizer.from_file(BYTES)
     batch = ["first one", text, "", "then " + text, "last one."]
-    ids, counts = token_files.Encoder(BYTES).encode(batch)
+    ids, counts = token_files.Encoder(BYTES).encode(pa.array(batch))
     ends = np.cumsum(counts)
     assert [ids[e - c : e].tolist() for e, c in zip(ends, counts, strict=True)] == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in batch]
 
@@ -321,9 +322,38 @@ def test_pairs_inside_a_family_just_below_the_threshold(spark, monkeypatch):
     assert {i: got[i] for i in range(400)} == label
 
 
+def test_texts_of_a_shared_id_are_not_lost(spark):
+    rows = [(1, "x y z"), (2, "x y z"), (2, "unique text"), (3, "other"), (3, "other"), (None, "unique text"), (None, "alone"), (None, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(str, exact_dedup.drop_exact(docs).collect())) == sorted(f"Row(doc_id={i}, text='{t}')" for i, t in [(1, "x y z"), (2, "unique text"), (3, "other"), (None, "alone")])
+    near = sorted(map(tuple, near_dedup.drop_near(docs.filter("doc_id IS NOT NULL")).collect()))
+    assert near == [(1, "x y z"), (2, "unique text"), (3, "other"), (3, "other")]
+    got = near_dedup.near_classes(docs).filter("doc_id = 2").collect()
+    assert sorted((r["class_id"], r["kept"]) for r in got) == [(1, False), (2, True)]
+
+
+@pytest.mark.parametrize("n", [100, 1000, 10_000, 10**7])
+def test_weights_have_no_step(n):
+    table = np.zeros(1 << 12, np.int64)
+    table[:200] = np.arange(200)
+    weight = near_dedup.damped_idf(table, n)[1:200]
+    assert weight[0] > 0.999 and (np.diff(weight) <= 0).all() and np.diff(weight).min() > -0.03
+
+
+def test_encoder_memory_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 5000)
+    encoder, rng = token_files.Encoder(BYTES), np.random.default_rng(1)
+    for _ in range(20):
+        batch = [" ".join(f"w{i}{'x' * int(i % 30)}" for i in rng.integers(0, 500, 40)) for _ in range(5)]
+        ids, counts = encoder.encode(pa.array(batch))
+        expected = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in batch]
+        assert ids.tolist() == [i for x in expected for i in x] and counts.tolist() == [len(x) for x in expected]
+        assert encoder.taken < 5000 + 200 * (token_files.ENTRY + 100)
+
+
 def test_stages_keep_odd_rows_and_columns(odd, labels):
     near, exact = near_dedup.drop_near(odd), exact_dedup.drop_exact(odd)
     assert near.columns == exact.columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in exact.collect()) == ["1", "1", "100", "3", "7", "8", "None", "None"]
+    assert sorted(str(r["doc_id"]) for r in exact.collect()) == ["1", "100", "3", "7", "8"]
     assert "2" not in [str(r["doc_id"]) for r in near.collect()]
     assert mixing.mixed(odd).columns == quality.keep_good(odd, labels).columns == odd.columns
