@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fiscoframe.checks import check, lst
+from fiscoframe.functions.keys import set_key
 from fiscoframe.functions.text import normalize_description
 from fiscoframe.operators.lookup import classify
 from fiscoframe.plans import descriptions as ds
@@ -12,6 +13,7 @@ from fiscoframe.plans import items as it
 from fiscoframe.plans import merge as mg
 from fiscoframe.plans import products as pr
 from fiscoframe.plans import units
+from fiscoframe.plans.replay import replay_merges
 from fiscoframe.session import stage
 from fiscoframe.sources.reference import MERCANTILE, STOCK_AUDIT, classification_tables, marked_cfop
 
@@ -440,6 +442,27 @@ def i16(t):
     return changed.select("cnpj", "descricao", "chave_produto", "total_entradas", "total_saidas", "verificado")
 
 
+@check(
+    "I16_replayed_log",
+    f"""WITH r AS MATERIALIZED ({_ROWS_SQL}),
+        a AS (SELECT cnpj, substr(descricao, 1, 2) AS g, CASE WHEN count(*) = 1 THEN min(chave) ELSE md5(string_agg(chave, '' ORDER BY chave)) END AS chave,
+                min(descricao) AS descricao, SUM(te) AS te, SUM(ts) AS ts, count(*) AS n FROM r GROUP BY 1, 2)
+        SELECT cnpj, min(descricao) AS descricao, CASE WHEN count(*) = 1 THEN min(chave) ELSE md5(string_agg(chave, '' ORDER BY chave)) END AS chave_produto,
+          CAST(SUM(te) AS DOUBLE) AS total_entradas, CAST(SUM(ts) AS DOUBLE) AS total_saidas, SUM(n) > 1 AS verificado FROM a GROUP BY cnpj, substr(g, 1, 1)""",
+)
+def i16_replay(t):
+    """Merges by two letters, then of their results by one letter; some taxpayers then name the first products again, to no effect."""
+    editable = stage(mg.editable_table(ds.descriptions(_normal(t))))
+    rows = editable.select("cnpj", "chave_produto", F.substring("descricao", 1, 2).alias("g"), F.substring("descricao", 1, 1).alias("l"))
+    first = rows.select("cnpj", F.lit(1).alias("ordem"), F.col("g").alias("grupo"), "chave_produto")
+    keys = F.collect_set("chave_produto")
+    results = rows.groupBy("cnpj", "g", "l").agg(F.when(F.size(keys) == 1, F.get(keys, F.lit(0))).otherwise(set_key(keys)).alias("chave_produto"))
+    second = results.select("cnpj", F.lit(2).alias("ordem"), F.col("l").alias("grupo"), "chave_produto")
+    again = rows.where(F.substring("cnpj", -1, 1).isin("0", "2", "4")).select("cnpj", F.lit(3).alias("ordem"), F.col("l").alias("grupo"), "chave_produto")
+    changed, _ = replay_merges(editable, first.union(second).union(again))
+    return changed.select("cnpj", "descricao", "chave_produto", "total_entradas", "total_saidas", "verificado")
+
+
 _MERGED_TOTALS = """LEFT JOIN (SELECT m.cnpj AS {c}_c, m.chave AS {c}_k, string_agg(concat('[', unidade, '; ', CAST(floor(v) AS BIGINT), ']'), '; ' ORDER BY unidade) AS {c} FROM
       (SELECT k.cnpj, k.chave, d.unidade, SUM(d.{v}) AS v FROM k JOIN (SELECT cnpj, {n} AS descricao, unidade, SUM(ve) AS ve, SUM(vs) AS vs FROM ({lines}) GROUP BY 1, 2, 3) d
          ON d.cnpj = k.cnpj AND d.descricao = k.descricao GROUP BY 1, 2, 3) m WHERE v > 0 GROUP BY 1, 2) ON {c}_c = g.cnpj AND {c}_k = g.chave"""
