@@ -249,7 +249,7 @@ def a14_one_key(t):
     # what is stored first is replaced key by key
     sinks.write_table(rows.withColumn("c_acctbal", F.lit(0.0)), path, partition="c_mktsegment")
     sinks.write_table(rows.where(F.col("c_mktsegment") == "BUILDING"), path, partition="c_mktsegment")
-    return sinks.read_table(rows.sparkSession, path, "BUILDING", "c_mktsegment")
+    return sinks.read_table(rows.sparkSession, path, "BUILDING")
 
 
 @check("A15_lower_names", "SELECT p_partkey AS chave_x, p_name AS nome FROM part")

@@ -138,3 +138,46 @@ def test_ordered_run(tables):
     rows = CATALOGUE["bloco_h"].run(tables, Params(cut_off="2000-06-30"), ordered=True).select("dt_inv").collect()
     days = [r.dt_inv for r in rows]
     assert days == sorted(days, reverse=True) and days
+
+
+def test_writing_again_replaces_null_keys_too(spark, tmp_path):
+    path = str(tmp_path / "nulls")
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("", 3), ("a", 4)], "cnpj string, v int")
+    for _ in range(3):
+        sinks.write_table(rows, path)
+    assert sorted(r["v"] for r in sinks.read_table(spark, path).collect()) == [1, 2, 3, 4]
+    sinks.write_table(spark.createDataFrame([(None, 9)], "cnpj string, v int"), path)
+    assert sorted(r["v"] for r in sinks.read_table(spark, path).collect()) == [3, 4, 9]
+
+
+@pytest.mark.parametrize("buckets", [1, 16, 64, 128])
+def test_the_layout_is_kept_with_the_table(spark, tmp_path, buckets):
+    path = str(tmp_path / "layout")
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("cnpj"), "id")
+    sinks.write_table(rows, path, buckets=buckets)
+    assert sinks.table_layout(spark, path) == {"key": "cnpj", "buckets": buckets}
+    assert len(list((tmp_path / "layout").glob("key_bucket=*"))) == buckets
+    for key in ("0", "77", "2999"):
+        found = sinks.read_table(spark, path, key)
+        assert [r["id"] for r in found.collect()] == [int(key)]
+    with pytest.raises(ValueError, match="stored by cnpj"):
+        sinks.write_table(rows, path, partition="id")
+
+
+def test_a_grown_table_gets_more_buckets(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "grown")
+    monkeypatch.setattr(sinks, "LEAST_BUCKETS", 2)
+    rows = spark.range(20_000).select((F.col("id") % 500).cast("string").alias("cnpj"), "id")
+    sinks.write_table(rows, path, buckets=2)
+    monkeypatch.setattr(sinks, "BUCKET_BYTES", sinks.folder_bytes(spark, path) // 6)
+    sinks.write_table(rows.where("cnpj = '7'").withColumn("id", -F.col("id")), path)
+    assert sinks.table_layout(spark, path)["buckets"] == 8
+    assert sinks.read_table(spark, path).count() == 20_000
+    assert sinks.read_table(spark, path, "7").agg(F.max("id")).first()[0] == -7
+    assert sinks.read_table(spark, path, "8").agg(F.min("id")).first()[0] == 8
+
+
+def test_a_plain_table_is_read_by_key(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.createDataFrame([("1", 1), ("2", 2)], "cnpj string, v int").write.parquet(path)
+    assert sinks.table_layout(spark, path) is None and sinks.read_table(spark, path, "2").collect() == [("2", 2)]
