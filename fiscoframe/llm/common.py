@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -50,6 +51,14 @@ def small_or_joined(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def kept_by_worker(key: tuple, make: Callable):
+    """An object that the tasks of one Python worker share: shipped functions have globals of their own in every task."""
+    kept = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def give_back() -> None:
     """Return memory that earlier work of this Python worker has freed to the system, where the C library can."""
     pa.default_memory_pool().release_unused()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_words, in_batches, ship, slices, spread, texts
+from .common import flat_words, in_batches, kept_by_worker, ship, slices, spread, texts
 
 ship(__name__)
 
@@ -314,7 +314,7 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
 
     def run(batches):
-        encoder = Encoder(model)
+        encoder = kept_by_worker(("pieces", model), lambda: Encoder(model))
         for piece in slices(batches, most=500_000):
             ids, counts = encoder.encode(piece.column("text").to_pylist())
             columns = {

@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage, work_folder
-from .common import in_batches, partitions, ship, slices, spread, texts
+from .common import in_batches, kept_by_worker, partitions, ship, slices, spread, texts
 
 ship(__name__)
 
 END = 0
-#: Bytes of encoded chunks that a task remembers before it starts its table anew, and what an entry takes beside its text.
-REMEMBERED, ENTRY = 96 << 20, 150
+#: Bytes of encoded chunks that a worker remembers, in two generations, and what an entry takes beside its text.
+REMEMBERED, ENTRY = 128 << 20, 150
 #: Bytes of text that are encoded at once: the larger, the fewer different chunks are looked up again.
 PIECE = 4 << 20
 #: Chunks that the library gets as one string.
@@ -44,6 +44,37 @@ ORC = {
 ROW = "doc_id long, n_tokens long, ids array<int>"
 
 
+class Memory:
+    """Ids of chunks by word; arrays grow by doubling."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.taken = self.used = self.held = 0
+        self.starts, self.lengths, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+
+    def room(self, ids: np.ndarray) -> int:
+        """Put ids behind those in use, without keeping them; the place of the first."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(self.used + len(ids), np.int32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        return self.used
+
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        a, b = self.held, self.held + len(words)
+        if b > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros(b, np.int64)]) for x in (self.starts, self.lengths))
+        self.starts[a:b] = self.room(ids) + np.cumsum(lengths) - lengths
+        self.lengths[a:b] = lengths
+        self.used += len(ids)
+        self.held = b
+        self.known.update(zip(words, range(a, b), strict=True))
+        self.taken += sum(map(len, words)) + ENTRY * len(words) + 4 * len(ids)
+
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return self.ids[spread(self.starts[place], self.lengths[place])], self.lengths[place]
+
+
 class Encoder:
     """The tokenizer with a memory of chunks.
 
@@ -52,6 +83,9 @@ class Encoder:
     encoded many in one string; how many bytes each id stands for tells where a chunk ends.
     Other texts (several spaces in a row, an added token such as ``<|endoftext|>``), and all texts of a tokenizer of
     another kind, are encoded whole.
+
+    The memory has two generations: chunks that are met again move to the younger one, and the older one goes when the younger
+    one is full, so that frequent chunks stay.
     """
 
     def __init__(self, path: str):
@@ -71,12 +105,7 @@ class Encoder:
         split = json.loads(self.tokenizer.to_str())
         first = split["pre_tokenizer"] or {}
         self.by_chunk = split["normalizer"] is None and first.get("type") == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.taken = self.used = self.held = 0
-        self.starts, self.lengths, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+        self.memory, self.older = Memory(), Memory()
 
     def whole(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of strings, one after the other, and the number of each."""
@@ -95,33 +124,18 @@ class Encoder:
             return self.whole(chunks)
         return ids, np.diff(at + 1, prepend=0)
 
-    def room(self, ids: np.ndarray) -> int:
-        """Put ids behind those in use, without keeping them; the place of the first."""
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(self.used + len(ids), np.int32)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        return self.used
-
-    def learn(self, new: list[str]) -> None:
-        ids, lengths = self.chunk_ids(new)
-        a, b = self.held, self.held + len(new)
-        if b > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros(b, np.int64)]) for x in (self.starts, self.lengths))
-        self.starts[a:b] = self.room(ids) + np.cumsum(lengths) - lengths
-        self.lengths[a:b] = lengths
-        self.used += len(ids)
-        self.held = b
-        self.known.update(zip(new, range(a, b), strict=True))
-        self.taken += sum(map(len, new)) + ENTRY * len(new) + 4 * len(ids)
-
     def places(self, words: list[str]) -> np.ndarray:
         """Places of the words in the memory; -1 for those that begin no chunk."""
-        if self.taken > REMEMBERED:
-            self.forget()
-        if new := [w for w in words if w not in self.known]:
-            self.learn([w for w in new if w and not w[0].isspace()])
-            self.known.update((w, -1) for w in new if not w or w[0].isspace())
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if self.memory.taken > REMEMBERED // 2:
+            self.memory, self.older = Memory(), self.memory
+        known, older = self.memory.known, self.older.known
+        if new := [w for w in words if w not in known]:
+            again = [w for w in new if older.get(w, -1) >= 0]
+            self.memory.add(again, *self.older.ids_of(again))
+            fresh = [w for w in new if w not in older and w and not w[0].isspace()]
+            self.memory.add(fresh, *self.chunk_ids(fresh))
+            known.update((w, -1) for w in new if not w or w[0].isspace())
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by the end id, and the number of ids of each text."""
@@ -130,7 +144,7 @@ class Encoder:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         parts = pc.split_pattern(column, " ")
         offsets, coded = parts.offsets.to_numpy().astype(np.int64), parts.values.dictionary_encode()
-        codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         place = self.places(words)[codes] if self.by_chunk else np.zeros(len(codes), np.int64)
         first, doc = offsets[:-1], np.repeat(np.arange(n), np.diff(offsets))
         place[first] = 0
@@ -143,13 +157,14 @@ class Encoder:
         for k in np.flatnonzero(odd):
             head[k] = column[k].as_py()
         extra, sizes = self.whole(head)
-        base = self.room(np.append(extra, np.int32(END)))
+        memory = self.memory
+        base = memory.room(np.append(extra, np.int32(END)))
         starts, lengths = np.full(len(codes) + n, base + len(extra)), np.ones(len(codes) + n, np.int64)
         own = np.arange(len(codes)) + doc
-        starts[own], lengths[own] = self.starts[place], np.where(odd[doc], 0, self.lengths[place])
+        starts[own], lengths[own] = memory.starts[place], np.where(odd[doc], 0, memory.lengths[place])
         starts[own[first]], lengths[own[first]] = base + np.cumsum(sizes) - sizes, sizes
         counts = np.add.reduceat(lengths, own[first])
-        return self.ids[spread(starts, lengths)], counts
+        return memory.ids[spread(starts, lengths)], counts
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> None:
@@ -158,7 +173,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> None:
     placed = texts(docs).repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id")
 
     def encode(batches):
-        encoder = Encoder(tokenizer)
+        encoder = kept_by_worker(("tokens", tokenizer), lambda: Encoder(tokenizer))
         for piece in slices(batches, most=PIECE):
             ids, counts = encoder.encode(piece.column("text"))
             ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))

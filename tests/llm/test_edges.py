@@ -348,7 +348,7 @@ def test_encoder_memory_is_bounded_by_bytes(monkeypatch):
         ids, counts = encoder.encode(pa.array(batch))
         expected = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in batch]
         assert ids.tolist() == [i for x in expected for i in x] and counts.tolist() == [len(x) for x in expected]
-        assert encoder.taken < 5000 + 200 * (token_files.ENTRY + 100)
+        assert encoder.memory.taken < 2500 + 200 * (token_files.ENTRY + 100)
 
 
 def test_stages_keep_odd_rows_and_columns(odd, labels):
