@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from fiscoframe.checks import check, dbl, txt
 from fiscoframe.functions import labels as lb
 from fiscoframe.plans.border import GOODS_ATTRIBUTES
-from fiscoframe.plans.catalogue import CATALOGUE
+from fiscoframe.operators.flags import RULES, Rule, with_flags
+from fiscoframe.plans.catalogue import CATALOGUE, extract
 from fiscoframe.plans.parameters import Params
+from fiscoframe.session import remove_at_end, work_folder
+from fiscoframe.sources.sinks import read_table, table_writer
 
 CUT_OFF, TODAY = "2000-06-30", "2001-12-31"
 PARAMS = Params(cut_off=CUT_OFF, start="1996-01-01", end="1999-12-31", today=TODAY)
@@ -32,7 +41,13 @@ def _date(column: str, name: str) -> str:
     )
 
 
+#: SQL of each catalogue query, for rows that take them all.
+AUDITS: dict[str, str] = {}
+
+
 def _audit(name: str, query: str, sql: str, params: Params = PARAMS):
+    AUDITS[query] = sql
+
     @check(name, sql)
     def build(t):
         return CATALOGUE[query].run(t, params)
@@ -375,3 +390,78 @@ _audit(
         FROM {FILES_BY_PERIOD} a JOIN {{reg_0200}} p ON p.reg_0000_id = a.reg_0000_id
         LEFT JOIN {{reg_0205}} x ON x.reg_0000_id = p.reg_0000_id AND x.reg_0200_id = p.id LEFT JOIN {{reg_0220}} c ON c.reg_0000_id = p.reg_0000_id AND c.reg_0200_id = p.id""",
 )
+
+
+@check(
+    "A13_extract_all_queries",
+    " UNION ALL ".join(
+        f"SELECT '{query}' AS consulta, 'written' AS situacao, (SELECT count(*) FROM ({sql})) AS linhas"
+        if CATALOGUE[query].per_taxpayer
+        else f"SELECT '{query}', 'skipped', NULL"
+        for query, sql in AUDITS.items()
+    ),
+)
+def a13_all(t):
+    """Every query through the extraction and the writer of tables by taxpayer, and what is stored then."""
+    spark = t["orders"].sparkSession
+    root = f"{work_folder(spark)}/extract-{uuid.uuid4().hex}"
+    done = extract(t, PARAMS, table_writer(root))
+    counts = [
+        (read_table(spark, o.detail).agg(F.count("*").alias("linhas")) if o.status == "written" else spark.range(1).select(F.lit(None).cast("long").alias("linhas")))
+        .select(F.lit(o.query).alias("consulta"), F.lit(o.status).alias("situacao"), "linhas")
+        for o in done
+    ]
+    remove_at_end(spark, root)
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _rule_sql(rule: Rule) -> str:
+    number = f"TRY_CAST({rule.column} AS DOUBLE)"
+    fires = {
+        "greater_than": f"{number} > {rule.value}",
+        "not_blank": f"{rule.column} IS NOT NULL AND CAST({rule.column} AS VARCHAR) <> ''",
+        "equals": f"CAST({rule.column} AS VARCHAR) = '{rule.value}'",
+        "not_equal_zero": f"{number} <> 0",
+        "compare_columns": f"{number} {rule.value} TRY_CAST({rule.other} AS DOUBLE)",
+    }[rule.kind]
+    return f"CASE WHEN {fires} THEN '{rule.label}' END"
+
+
+#: Rules on columns that the stand-in tables lack; they are skipped.
+_ABSENT = {("nfce", "ide_co_mod")}
+_FLAGGED = {query: rules for query, rules in RULES.items() if query in CATALOGUE}
+_SHOWN = {query: [r for r in rules if (query, r.column) not in _ABSENT] for query, rules in _FLAGGED.items()}
+
+
+@check(
+    "B20_declared_rules",
+    " UNION ALL ".join(
+        f"SELECT '{query}' AS tabela, concat_ws('; ', {', '.join(map(_rule_sql, rules))}) AS alertas, count(*) AS linhas FROM ({AUDITS[query]}) GROUP BY 1, 2"
+        for query, rules in _SHOWN.items()
+    ),
+)
+def b20_declared(t):
+    """The declared rules over every catalogue query that has some."""
+    flagged = [with_flags(CATALOGUE[query].run(t, PARAMS), rules).select(F.lit(query).alias("tabela"), "alertas") for query, rules in _FLAGGED.items()]
+    return reduce(DataFrame.unionByName, flagged).groupBy("tabela", "alertas").agg(F.count("*").alias("linhas"))
+
+
+@check(
+    "C16_snowflake_join",
+    f"SELECT uf_emitente, receita, situacao, co_sefin, nome_co_sefin, count(*) AS linhas, count(DISTINCT chave) AS notas, min(guia) AS guia FROM ({AUDITS['fronteira_completo']}) GROUP BY ALL",
+)
+def c16(t):
+    """Eight tables from the note to the product code, counted by what the joins attach."""
+    joined = CATALOGUE["fronteira_completo"].run(t, PARAMS)
+    keys = ["uf_emitente", "receita", "situacao", "co_sefin", "nome_co_sefin"]
+    return joined.groupBy(*keys).agg(F.count("*").alias("linhas"), F.count_distinct("chave").alias("notas"), F.min("guia").alias("guia"))
+
+
+@check(
+    "G04_exclusive_roles",
+    f"SELECT cnpj, papel_cnpj_filtrado, count(*) AS documentos, min(chave_acesso) AS primeiro FROM ({AUDITS['cte']}) GROUP BY ALL",
+)
+def g04(t):
+    """Each document once for every different party, under the first role that the party has in it."""
+    roles = CATALOGUE["cte"].run(t, PARAMS)
+    return roles.groupBy("cnpj", "papel_cnpj_filtrado").agg(F.count("*").alias("documentos"), F.min("chave_acesso").alias("primeiro"))

@@ -577,7 +577,7 @@ def i21(t):
 @check(
     "I22_price_volatility",
     """SELECT CAST(l_partkey AS VARCHAR) AS chave_produto, l_returnflag AS unidade, count(*) AS movimentos, round(stddev_samp(l_discount) / avg(l_discount), 6) AS coef_variacao,
-         coalesce(stddev_samp(l_discount) / avg(l_discount) > 0.51, false) AS volatil FROM lineitem GROUP BY 1, 2""",
+         coalesce(round(stddev_samp(l_discount) / avg(l_discount), 9) > 0.5, false) AS volatil FROM lineitem GROUP BY 1, 2""",
 )
 def i22(t):
     rows = t["lineitem"].select(
@@ -586,7 +586,7 @@ def i22(t):
         F.col("l_returnflag").alias("unidade"),
         F.col("l_discount").alias("preco"),
     )
-    out = units.price_volatility(rows, 0.51)
+    out = units.price_volatility(rows, 0.5)
     return out.select("chave_produto", "unidade", "movimentos", F.round("coef_variacao", 6).alias("coef_variacao"), "volatil")
 
 

@@ -259,15 +259,21 @@ def h19_months(t):
 _PAGE = "".join(text._windows_1252())
 
 
+_BYTES = """CASE WHEN unicode(c) < 2048 THEN [192 + unicode(c) // 64, 128 + unicode(c) % 64]
+      WHEN unicode(c) < 65536 THEN [224 + unicode(c) // 4096, 128 + unicode(c) // 64 % 64, 128 + unicode(c) % 64]
+      ELSE [240 + unicode(c) // 262144, 128 + unicode(c) // 4096 % 64, 128 + unicode(c) // 64 % 64, 128 + unicode(c) % 64] END"""
+
+
 @check(
     "H20_code_page",
-    f"""SELECT doc_id, array_to_string(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) < 128 THEN c ELSE
-          concat(chr(CAST(192 + unicode(c) // 64 AS INTEGER)), CASE WHEN unicode(c) % 64 < 32 THEN substr('{_PAGE}', CAST(unicode(c) % 64 + 1 AS INTEGER), 1)
-          ELSE chr(CAST(128 + unicode(c) % 64 AS INTEGER)) END) END), '') AS lido FROM documents WHERE NOT regexp_matches(text, '[^\\x{{0}}-\\x{{7FF}}]')""",
+    f"""SELECT doc_id, array_to_string(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) < 128 THEN c ELSE array_to_string(list_transform({_BYTES},
+          lambda b: CASE WHEN b < 160 THEN substr('{_PAGE}', CAST(b - 127 AS INTEGER), 1) ELSE chr(CAST(b AS INTEGER)) END), '') END), '') AS lido FROM (
+          SELECT doc_id, concat(text, ' ‘’“”–—…€™ 漢字 😀 􏿿 ', doc_id) AS text FROM documents)""",
 )
 def h20_code_page(t):
-    docs = t["documents"].where(~F.col("text").rlike("[^\\x{0}-\\x{7FF}]"))
-    return docs.select("doc_id", text.read_as_windows_1252(F.col("text")).alias("lido"))
+    """All documents, each with typographic marks and characters of three and four bytes behind it."""
+    shown = F.concat("text", F.lit(" ‘’“”–—…€™ 漢字 😀 􏿿 "), F.col("doc_id").cast("string"))
+    return t["documents"].select("doc_id", text.read_as_windows_1252(shown).alias("lido"))
 
 
 @check(

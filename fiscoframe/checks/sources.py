@@ -25,7 +25,7 @@ from fiscoframe.sources.readers import (
     read_manual_factors,
 )
 from fiscoframe.sources.reference import STOCK_AUDIT, marked_cfop
-from fiscoframe.sources.tables import base_year, by_precedence, for_taxpayer, list_taxpayers
+from fiscoframe.sources.tables import base_year, by_precedence, for_taxpayer, list_taxpayers, read_mixed
 
 
 def _folder(df, label: str) -> str:
@@ -265,6 +265,22 @@ def a16(t):
     return all_text(t["customer"].select("c_custkey", "c_name", "c_nationkey"))
 
 
+@check(
+    "A16_files_of_different_types",
+    """SELECT CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey AS VARCHAR) WHEN 1 THEN CAST(CAST(c_custkey AS DECIMAL(20,2)) AS VARCHAR) ELSE concat('c', c_custkey) END AS chave,
+         c_custkey AS id, CAST(CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_acctbal END AS DOUBLE) AS saldo FROM customer""",
+)
+def a16_files(t):
+    """One folder where a column is a whole number, a decimal and text, and another is missing in some files."""
+    rows, root = t["customer"], _folder(t["customer"], "mixed")
+    key, part = F.col("c_custkey"), F.col("c_custkey") % 3
+    written = [key.cast("bigint"), key.cast("decimal(20,2)"), F.concat(F.lit("c"), key.cast("string"))]
+    for i, chave in enumerate(written):
+        kept = [F.col("c_acctbal").cast("double").alias("saldo")] if i < 2 else []
+        rows.where(part == i).select(chave.alias("chave"), key.cast("int" if i else "bigint").alias("id"), *kept).write.mode("append").parquet(root)
+    return read_mixed(rows.sparkSession, root).select("chave", "id", "saldo")
+
+
 @check(
     "A17_operation_log",
     """SELECT * FROM (SELECT CAST(o_orderdate AS VARCHAR) AS timestamp, CAST(o_custkey AS VARCHAR) AS cnpj,

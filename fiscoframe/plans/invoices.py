@@ -16,6 +16,7 @@ from fiscoframe.operators.predicates import authorised, consumer_or_invoice_mode
 from fiscoframe.operators.versioning import last_event, last_notification, last_pendency, latest
 from fiscoframe.plans.parameters import Params, one_taxpayer
 from fiscoframe.schemas import MEASURE
+from fiscoframe.session import stage
 
 T = Mapping[str, DataFrame]
 
@@ -258,9 +259,9 @@ def omitted_documents(t: T, p: Params) -> DataFrame:
         .where(F.col("chv_nfe").isNotNull())
         .select("cnpj", F.col("chv_nfe").alias("chave_acesso"))
     )
-    missing = issued.join(declared, ["cnpj", "chave_acesso"], "left_anti")
-    # one newest event a document, so that the anti join above is planned once
-    events = last_event(t["dm_eventos"])
+    # stored, as both the events below and the result read it: only events of missing documents are ranked
+    missing = stage(issued.join(declared, ["cnpj", "chave_acesso"], "left_anti"))
+    events = last_event(t["dm_eventos"].join(missing.select("chave_acesso"), "chave_acesso", "left_semi"))
     return (
         _audit_context(missing, t, p, one_row=True)
         .join(events, "chave_acesso", "left")

@@ -347,12 +347,15 @@ def deduplicate_movements(
 
 
 def price_volatility(movements: DataFrame, threshold: float, price: str = "preco") -> DataFrame:
-    """Coefficient of variation of the price per product and unit, with an alert."""
+    """Coefficient of variation of the price per product and unit, with an alert above the threshold.
+
+    The alert compares nine places, so that a ratio equal to the threshold raises none however its sums were rounded.
+    """
     value = F.col(price).cast("double")
     grouped = movements.groupBy(*PRODUCT, "unidade").agg(
         F.avg(value).alias("preco_medio"), F.stddev_samp(value).alias("desvio"), F.count(value).alias("movimentos")
     )
     variation = F.try_divide("desvio", "preco_medio")
     return grouped.withColumns(
-        {"coef_variacao": variation, "volatil": F.coalesce(variation > threshold, F.lit(False))}
+        {"coef_variacao": variation, "volatil": F.coalesce(F.round(variation, 9) > threshold, F.lit(False))}
     )

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fiscoframe.operators.sets import union_widened
 
 class Tables(Mapping[str, DataFrame]):
     """Named tables that are opened on first use."""
@@ -32,6 +33,41 @@ class Tables(Mapping[str, DataFrame]):
         return cls({name: (lambda name=name: spark.read.parquet(f"{root}/{name}")) for name in names})
 
 
+def _footer_schemas(batches):
+    """path, types: the columns of each Parquet file as text, from its footer alone."""
+    import json
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for batch in batches:
+        paths, types = batch.column("path").to_pylist(), []
+        for path in paths:
+            files, name = fs.FileSystem.from_uri(path)
+            with files.open_input_file(name) as f:
+                types.append(json.dumps([(c.name, str(c.type)) for c in pq.read_schema(f)]))
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(types, pa.string())], names=["path", "types"])
+
+
+def read_mixed(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of Parquet files whose columns differ in type or presence, as one frame.
+
+    Tasks read the footers; files of equal columns form a group, which is scanned with its own types; groups are
+    united by name, each column in the widest type that holds all of its values (text in the end).
+    A folder where all files agree is one plain scan.
+    """
+    # only the listing: no content is read
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
+    footers = listed.repartition("path").mapInArrow(_footer_schemas, "path string, types string").collect()  # a row for each file, as in any scan's listing
+    groups: dict[str, list[str]] = {}
+    for row in footers:
+        groups.setdefault(row["types"], []).append(row["path"])
+    if not groups:
+        raise FileNotFoundError(f"no Parquet files below {path}")
+    return union_widened([spark.read.parquet(*sorted(files)) for _, files in sorted(groups.items())])
+
+
 def for_taxpayer(df: DataFrame, cnpj: str | None) -> DataFrame:
     """Rows of one taxpayer (partition pruning on disk); none given means all."""
     return df if cnpj is None else df.where(F.col("cnpj") == cnpj)
