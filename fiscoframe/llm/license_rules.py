@@ -114,7 +114,7 @@ VERB = r"(?:licen[cs]ed|released|distributed|available|published|provided|redist
 
 
 def rules() -> list[Rule]:
-    """All rules: five phrasings for each license, and the notices."""
+    """All rules: six phrasings for each license, and the notices."""
     out = [Rule(*n) for n in NOTICES]
     for label, keyword, name, tag in LICENSES:
         head = tag.split("(")[0].split("[")[0].split(" ")[0].rstrip("?")

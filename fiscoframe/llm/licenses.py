@@ -12,6 +12,7 @@ one and has no detections.  Repeated rows are scanned each.  Other columns are i
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +25,13 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 #: One of these stands in every text that a rule can match; each lies inside one word, as words may be apart by any separators.
 GATES = ("licen", "copyleft", "domain", "reserved", "spdx", "permission", "redistribut", "warranty", "endorse", "creativecommons", "proprietary", "opensource", "commons", "cc0", "wtfpl", "gnu", "apache", "mozilla", "boost", "attribution")
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Values of a running array that are gathered together.
+BLOCK = 64
 #: Confidence of one surviving detection, by priority from 1.
 CONFIDENCE = (0.4, 0.6, 0.8, 0.9, 0.97)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULE = "array<struct<name:string,label:string,priority:int,keyword:string,pattern:string>>"
+SPAN = "struct<begin:int,end:int>"
 DETECTION = "array<struct<begin:int,end:int,priority:int,name:string,label:string>>"
 
 
@@ -45,20 +49,51 @@ def rule_table() -> Column:
     return F.from_json(F.lit(json.dumps(listed)), RULE)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def in_blocks(items: Column, size: int) -> Column:
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(size))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.slice(items, at, F.lit(size)))
+
+
+def running(items: Column, start: Column, step: Callable, kind: str) -> Column:
+    """``step(state, item) -> (state, value)`` along an array; the values as an array of ``kind``.
+
+    ``items`` must be a column or bound.  Array functions copy their array, so items are cut into blocks in two steps and
+    values are gathered block by block: n items cost far less than n * n copies.
+    """
+    none, blocks = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def inner(state, item):
+        after, value = step(state["state"], item)
+        return F.struct(after.alias("state"), F.array_append(state["out"], value).alias("out"), state["done"].alias("done"))
+
+    def outer(state, block):
+        fresh = F.struct(state["state"].alias("state"), none.alias("out"), F.array_append(state["done"], state["out"]).alias("done"))
+        return F.aggregate(block, fresh, inner)
+
+    cut = F.flatten(F.transform(in_blocks(items, BLOCK * BLOCK), lambda b: in_blocks(b, BLOCK)))
+    begin = F.struct(start.alias("state"), none.alias("out"), blocks.alias("done"))
+    return F.aggregate(cut, begin, outer, lambda s: F.flatten(F.array_append(s["done"], s["out"])))
+
+
 def matches(words: Column, rule: Column) -> Column:
     """Where a rule's expression matches: character positions of begin and end."""
     gaps = F.split(words, rule["pattern"], -1)
     hits = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-    empty = F.array().cast("array<struct<begin:int,end:int>>")
+    sizes = F.arrays_zip(F.transform(gaps, F.length).alias("gap"), F.transform(hits, F.length).alias("hit"))
 
-    def step(state, i):
-        begin = state["at"] + F.length(F.get(gaps, i))
-        end = begin + F.length(F.get(hits, i))
-        return F.struct(end.alias("at"), F.array_append(state["out"], F.struct(begin.alias("begin"), end.alias("end"))).alias("out"))
+    def step(at, size):
+        begin = at + size["gap"]
+        end = begin + F.coalesce(size["hit"], F.lit(0))
+        return end, F.struct(begin.alias("begin"), end.alias("end"))
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    steps = F.when(F.size(hits) > 0, F.sequence(F.lit(0), F.size(hits) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, start, step, lambda s: s["out"])
+    # the text behind the last match has no hit
+    found = bound(sizes, lambda s: F.slice(running(s, F.lit(0), step, SPAN), 1, F.size(s) - 1))
+    return F.when(F.regexp_like(words, rule["pattern"]), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def detections(words: Column) -> Column:
@@ -71,16 +106,24 @@ def detections(words: Column) -> Column:
     return F.flatten(found).cast(DETECTION)
 
 
-def beats(e: Column, d: Column) -> Column:
-    """Whether detection ``e`` contains ``d`` and comes before it."""
-    longer = (e["end"] - e["begin"]) > (d["end"] - d["begin"])
-    same = (e["end"] == d["end"]) & (e["begin"] == d["begin"])
-    inside = (e["begin"] <= d["begin"]) & (e["end"] >= d["end"])
-    return inside & ((e["priority"] > d["priority"]) | ((e["priority"] == d["priority"]) & (longer | (same & (e["name"] < d["name"])))))
-
-
 def surviving(found: Column) -> Column:
-    return F.filter(found, lambda d: ~F.exists(found, lambda e: beats(e, d)))
+    """Detections that none contains which has a higher priority, or the same and is longer or, if equal, earlier by name.
+
+    In the order of begin, falling end, falling priority and name, all that may contain a detection stand before it; so
+    it stays if none of its priority or a higher one before it has reached its end.
+    """
+    ordered = F.array_sort(F.transform(found, lambda d: F.struct(d["begin"].alias("begin"), (-d["end"]).alias("back"), (-d["priority"]).alias("rank"), d["name"].alias("name"), d["label"].alias("label"))))
+    levels = range(1, len(CONFIDENCE) + 1)
+
+    def step(reached, d):
+        end, priority = -d["back"], -d["rank"]
+        over = F.greatest(F.lit(-1), *[F.when(priority <= p, reached[f"p{p}"]) for p in levels])
+        after = F.struct(*[F.when(priority == p, F.greatest(reached[f"p{p}"], end)).otherwise(reached[f"p{p}"]).alias(f"p{p}") for p in levels])
+        kept = F.struct(d["begin"].alias("begin"), end.alias("end"), priority.alias("priority"), d["name"].alias("name"), d["label"].alias("label"))
+        return after, F.when(over < end, kept)
+
+    none = F.struct(*[F.lit(-1).alias(f"p{p}") for p in levels])
+    return F.array_compact(bound(ordered, lambda o: running(o, none, step, DETECTION[6:-1]))).cast(DETECTION)
 
 
 def scan(docs: DataFrame) -> DataFrame:
