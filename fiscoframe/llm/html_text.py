@@ -2,8 +2,9 @@
 
 Markup is stripped so that every block element with text becomes one line.  Lines of menus, headers,
 footers, sidebars, notices, adverts, forms and comments are emptied, and so are lines outside the article
-where the page marks one.  The text lengths of the lines are summed over sliding windows; the text begins
-where this sum surges from nothing and ends where it dives to nothing for good.  Nothing else goes, however short.
+where the page marks one; then nothing else goes, however short.  On a page that marks none, the lengths of the lines' text
+outside links are summed over sliding windows; the text begins where this sum surges to a share of its largest value and ends
+where it dives below it for good, with the headings, paragraphs and sentences next to it.
 
 Where the page marks no article outside such elements, forms and elements that only a class or id tells are no
 boilerplate if they hold more than half of the text, a main element, or an article with
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,8 +29,10 @@ from .common import map_slices, ship
 
 ship(__name__)
 
-#: Lines that one window sums over.
-WINDOW = 3
+#: Lines that one window sums over; the share of the densest window's text that is dense; text below which a page has no stretch.
+WINDOW, THIN, LEAST = 3, 0.2, 200
+#: Elements and ends of lines that belong to a dense stretch next to them.
+NEXT_TO, ENDS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote figcaption pre td dd".split()), (".", "!", "?", "…", ":", '."', ".”", ".)")
 
 # Names of HTML elements and words that mark what is not the article.
 BLOCKS = frozenset(
@@ -41,10 +46,9 @@ BOILERPLATE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
-PARTS = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<(script|style|textarea|title|xmp|noembed|noframes|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</\1\s*>|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+NAME = re.compile(r"<(/?[a-zA-Z][^\s/>]*)")
+DELIMITER = re.compile(r"[>\"']")
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ROLE = re.compile(r"\brole\s*=\s*[\"']?([a-z]+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -72,123 +76,218 @@ def omitted(name: str, attributes: str) -> int:
     return 0
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, bool]], bool]:
-    """Lines of text with whether they lie inside a marked article, and whether there is one."""
-    lines: list[tuple[str, tuple, tuple]] = []  # text, omitted elements around it, articles around it
+def parts_of(page: str) -> Iterator[tuple[str, str, str]]:
+    """(name, attributes, text): tags with a name (``/name`` for a closing one) and text without; each character is passed once.
+
+    What follows an unclosed tag, comment or raw element is dropped.  Once a quote is found that never closes, quotes no longer
+    hide the end of a tag.
+    """
+    at, quoted = 0, True
+
+    def tag_end(start: int) -> int:
+        nonlocal quoted
+        here = start
+        while quoted and (found := DELIMITER.search(page, here)):
+            if found[0] == ">":
+                return found.start()
+            here = page.find(found[0], found.end()) + 1
+            if not here:
+                quoted = False
+        return page.find(">", start)
+
+    while at < len(page):
+        begin = page.find("<", at)
+        if begin < 0:
+            begin = len(page)
+        if begin > at:
+            yield "", "", page[at:begin]
+        at = begin
+        named = NAME.match(page, at)
+        if named:
+            end = tag_end(named.end())
+            if end < 0:
+                return
+            name, at = named[1].lower(), end + 1
+            if name in RAW:
+                closed = RAW_END[name].search(page, at)
+                if closed is None:
+                    return
+                at = closed.end()
+            else:
+                yield name, page[named.end() : end], ""
+        elif page.startswith("<!--", at) or page[at + 1 : at + 2] in ("!", "?", "/"):
+            mark = "-->" if page.startswith("<!--", at) else ">"
+            end = page.find(mark, at)
+            if end < 0:
+                return
+            at = end + len(mark)
+        elif at < len(page):
+            yield "", "", "<"
+            at += 1
+
+
+class Chains:
+    """Sets of elements around a place as linked nodes: each new node adds one element to the set of its parent."""
+
+    def __init__(self):
+        self.parent: list[int] = []
+        self.item: list = []
+
+    def add(self, parent: int, item) -> int:
+        self.parent.append(parent)
+        self.item.append(item)
+        return len(self.item) - 1
+
+    def down(self, first, step) -> list:
+        """A value of each node from that of its parent (``first`` for none); the last one is for no node at all, index -1."""
+        out = [first] * (len(self.item) + 1)
+        for node, (parent, item) in enumerate(zip(self.parent, self.item, strict=True)):
+            out[node] = step(out[parent], node, item)
+        return out
+
+    def up(self, own: list[int]) -> list[int]:
+        """Sums over each node and all below it."""
+        for node in range(len(self.item) - 1, -1, -1):
+            if self.parent[node] >= 0:
+                own[self.parent[node]] += own[node]
+        return own
+
+
+@dataclass
+class Line:
+    text: str
+    around: int
+    within: int
+    element: str
+    linked: int
+
+
+def lines_of(page: str) -> tuple[list[Line], list[bool], bool]:
+    """Lines of the page, whether each may be part of the article by the names around it, and whether an article is marked."""
+    lines: list[Line] = []
     run: list[str] = []
-    stack: list[tuple[str, tuple, tuple]] = []  # name, omitted elements and articles around it and itself
-    kinds: list[int] = []
-    articles: list[tuple[str, tuple]] = []  # name, omitted elements around it
-    omits, inside = (), ()
+    stack: list[tuple[str, int, int]] = []  # name, omitted elements and articles around it and itself
+    opened: dict[str, list[int]] = {}
+    omits, articles = Chains(), Chains()  # omitted elements with their kind, articles with their name and what is omitted around them
+    around = within = -1
+    anchor, linked = False, 0
 
     def flush():
+        nonlocal linked
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                lines.append((text, omits, inside))
+                lines.append(Line(text, around, within, stack[-1][0] if stack else "", linked))
             run.clear()
+        linked = 0
 
     def push(name: str, kind: int):
-        nonlocal omits, inside
+        nonlocal around, within
         if name in ("article", "main"):
-            inside = (*inside, len(articles))
-            articles.append((name, omits))
+            within = articles.add(within, (name, around))
         if kind:
-            omits = (*omits, len(kinds))
-            kinds.append(kind)
-        stack.append((name, omits, inside))
+            around = omits.add(around, kind)
+        opened.setdefault(name, []).append(len(stack))
+        stack.append((name, around, within))
 
     def close(k: int):
-        nonlocal omits, inside
-        del stack[k:]
-        omits, inside = stack[-1][1:] if stack else ((), ())
-
-    at = 0
-    for part in PARTS.finditer(page):
-        if part.start() > at:
-            run.append(page[at : part.start()])
-        at = part.end()
-        raw, closing, name, attributes = part.groups()
-        if raw or not name:
+        nonlocal around, within
+        while len(stack) > k:
+            opened[stack.pop()[0]].pop()
+        _, around, within = stack[-1] if stack else ("", -1, -1)
+
+    for tag, attributes, text in parts_of(page):
+        if not tag:
+            run.append(text)
+            linked += len(text.strip()) if anchor else 0
             continue
-        name = name.lower()
+        closing, name = tag[0] == "/", tag.lstrip("/")
         if name == "br":
             run.append(" ")
             continue
+        place = opened.get(name) or [None]
         if name not in BLOCKS and name not in OMITTED:
-            if name in VOID or closing:
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if closing and k is not None:
-                    flush()
-                    close(k)
-            elif not attributes.endswith("/") and (kind := omitted(name, attributes)):
+            anchor = not closing if name == "a" else anchor
+            if closing and place[-1] is not None:
+                flush()
+                close(place[-1])
+            elif not closing and name not in VOID and not attributes.endswith("/") and (kind := omitted(name, attributes)):
                 flush()
                 push(name, kind)
             continue
         flush()
         if closing:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if k is not None:
-                close(k)
+            if place[-1] is not None:
+                close(place[-1])
             continue
         if name in VOID or attributes.endswith("/"):
             continue
         if stack and stack[-1][0] == "p" and name in CLOSES_P or stack and stack[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
             close(len(stack) - 1)
         push(name, omitted(name, attributes))
-    if at < len(page):
-        tail = page[at:]
-        run.append(tail.partition("<")[0] if re.match(r"[^<]*<[a-zA-Z/!?]", tail) else tail)
     flush()
-    lifted = set() if any(not around for _, around in articles) else misnamed(lines, kinds, articles)
-    marks = {k for k, (_, around) in enumerate(articles) if lifted.issuperset(around)}
-    return [(text if lifted.issuperset(around) else "", not marks.isdisjoint(within)) for text, around, within in lines], bool(marks)
+    lifted = set() if any(where < 0 for _, where in articles.item) else misnamed(lines, omits, articles)
+    free = omits.down(True, lambda before, node, _: before and node in lifted)
+    marked = articles.down(False, lambda before, _, item: before or free[item[1]])
+    return lines, [free[line.around] and (marked[line.within] or not any(marked)) for line in lines], any(marked)
 
 
-def misnamed(lines: list[tuple[str, tuple, tuple]], kinds: list[int], articles: list[tuple[str, tuple]]) -> set[int]:
+def misnamed(lines: list[Line], omits: Chains, articles: Chains) -> set[int]:
     """SOFT elements that hold the article or most of the text."""
-    held, of_article, total, outside = [0] * len(kinds), [0] * len(articles), 0, 0
-    for text, around, within in lines:
-        if any(kinds[k] == HARD for k in around):
+    hard = omits.down(False, lambda before, _, kind: before or kind == HARD)
+    held, of_article, total, outside = [0] * len(omits.item), [0] * len(articles.item), 0, 0
+    for line in lines:
+        if hard[line.around]:
             continue
-        total += len(text)
-        outside += 0 if around else len(text)
-        for k in around:
-            held[k] += len(text)
-        for k in within:
-            of_article[k] += len(text)
-    out = {k for k, n in enumerate(held) if 2 * n > total}
-    for (name, around), n in zip(articles, of_article, strict=True):
-        if n and (name == "main" or n >= outside) and all(kinds[k] == SOFT for k in around):
-            out.update(around)
+        size = len(line.text)
+        total += size
+        if line.around >= 0:
+            held[line.around] += size
+        else:
+            outside += size
+        if line.within >= 0:
+            of_article[line.within] += size
+    out = {k for k, n in enumerate(omits.up(held)) if 2 * n > total}
+    for (name, where), n in zip(articles.item, articles.up(of_article), strict=True):
+        if n and (name == "main" or n >= outside) and not hard[where]:
+            while where >= 0 and where not in out:
+                out.add(where)
+                where = omits.parent[where]
     return out
 
 
-def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
-    """Surge and dive points: maximal runs of lines whose window sums stay above nothing."""
-    out, start, total = [], None, 0
-    for i in range(len(lengths) + window):
-        total += lengths[i] if i < len(lengths) else 0
-        total -= lengths[i - window] if i >= window else 0
-        if total and start is None:
-            start = i
-        elif not total and start is not None:
-            out.append((start, i - window + 1))
-            start = None
-    if start is not None:
-        out.append((start, len(lengths)))
-    return out
+def dense_stretch(lines: list[Line], window: int = WINDOW) -> tuple[int, int]:
+    """Surge and dive point: from where the text in a window of lines first reaches a share of the densest window's to where it last does.
+
+    Text of links does not count.  The point is the outermost line of the window that carries its part.  Headings, paragraphs and
+    sentences next to the stretch belong to it, as far as nothing else comes between.  Where no window holds much
+    text, all lines are the stretch.
+    """
+    weight = [max(0, len(line.text) - line.linked) for line in lines]
+    sums = [sum(weight[i : i + window]) for i in range(max(1, len(weight) - window + 1))]
+    most = max(sums, default=0)
+    if most < LEAST:
+        return 0, len(lines)
+    least = THIN * most
+    full = [i for i, n in enumerate(sums) if n >= least]
+    start = next(i for i in range(full[0], len(lines)) if weight[i] * window >= least)
+    end = next(i for i in range(min(len(lines), full[-1] + window) - 1, -1, -1) if weight[i] * window >= least) + 1
+
+    def joins(line: Line) -> bool:
+        return line.element in NEXT_TO and 2 * line.linked < len(line.text) or line.text.endswith(ENDS)
+
+    while start and joins(lines[start - 1]):
+        start -= 1
+    while end < len(lines) and joins(lines[end]):
+        end += 1
+    return start, end
 
 
 def main_text(page: str) -> str:
-    lines, marked = lines_of(page)
-    bodies = [text if inside or not marked else "" for text, inside in lines]
-    lengths = [len(t) for t in bodies]
-    runs = stretches(lengths)
-    if not runs:
-        return ""
-    surge, dive = runs[0][0], runs[-1][1]
-    return "\n".join(t for t in bodies[surge:dive] if t)
+    lines, allowed, marked = lines_of(page)
+    kept = [line for line, ok in zip(lines, allowed, strict=True) if ok]
+    surge, dive = (0, len(kept)) if marked else dense_stretch(kept)
+    return "\n".join(line.text for line in kept[surge:dive])
 
 
 def extract(pages: DataFrame) -> DataFrame:

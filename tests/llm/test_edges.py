@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import numpy as np
 import public_tokenizers
@@ -241,6 +242,23 @@ def test_wrappers_named_like_boilerplate(wrapper, inner):
     assert html_text.main_text(page) == "T\nOne long paragraph of the page.\nAnother long paragraph of the page."
 
 
+@pytest.mark.parametrize("tag", ["div", "li", "span"])
+def test_windows_decide_on_unmarked_pages(tag):
+    body = [f"Paragraph {i} says {'one thing and another ' * 6}at length." for i in range(8)]
+    shown = "".join(f"<div><h2>Part {i}</h2></div><div>{t}</div>" for i, t in enumerate(body))
+    page = f"<{tag}>Home</{tag}><br><div>News</div><div><a href=x>Some linked story with a rather long title that goes on and on and on</a></div>{shown}<div>Copyright 2020</div><div>Terms</div>"
+    assert html_text.main_text(page).split("\n") == [x for i, t in enumerate(body) for x in (f"Part {i}", t)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<x " * 350_000, '<a "' * 260_000, "<a ' >" * 200_000, "<div>" * 200_000, "<div>" * 90_000 + "</p>" * 120_000, "<div class=ad>" * 70_000 + "<p>a" * 2000, "<!" * 500_000, "<" * 1_000_000, "<article>" * 100_000 + "x"],
+)
+def test_a_million_characters_of_markup(page):
+    began = time.process_time()
+    assert isinstance(html_text.main_text(page), str) and time.process_time() - began < 10
+
+
 @pytest.mark.parametrize("page", ["", "no markup at all", "<", "<p", "<p>a<", "<!--", "<script>", "</p></div>", "<a href='>'>x</a>", "<p>" * 2000])
 def test_odd_pages_do_not_crash(page):
     assert isinstance(html_text.main_text(page), str)
