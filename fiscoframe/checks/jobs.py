@@ -357,6 +357,16 @@ def i12_base(t):
     )
 
 
+@check("I12_factors_of_two_periods", _V2_SQL)
+def i12_periods(t):
+    """Totals of each period are stored on their own; the factors come from the totals alone and equal those of all rows."""
+    items = _stored_items(t)
+    products = ds.consolidated_products(ds.descriptions_v2(it.normalize_items(items)))
+    rows, odd = _documents(t), F.coalesce(F.col("ano").try_cast("int") % 2 == 1, F.lit(False))
+    periods = [stage(units.item_unit_totals(rows.where(part))) for part in (odd, ~odd)]
+    return units.conversion_factors_v2(units.base_of_totals(units.merge_unit_totals(*periods), products, items))
+
+
 @check(
     "I12_review_queue",
     f"SELECT * FROM ({_V2_SQL}) WHERE status_validacao <> 'auto_aprovavel' OR fator_de_conversao <= 0 OR fator_de_conversao > 1000 OR fator_de_conversao < 0.001",

@@ -6,6 +6,8 @@ bridge, so the bridge join moves one row per item and unit instead of every line
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from fiscoframe.operators.aggregates import (
 from fiscoframe.operators.versioning import latest
 from fiscoframe.plans.items import KEY, condense, normalize_key_fields
 from fiscoframe.plans.products import with_normalized_description
-from fiscoframe.schemas import VALUE_FIELDS
+from fiscoframe.schemas import TOTAL, VALUE_FIELDS
 
 PRODUCT = ["cnpj", "chave_produto"]
 REFERENCE_OVER_UNIT, UNIT_OVER_REFERENCE = "reference/unit", "unit/reference"
@@ -36,6 +38,19 @@ def item_unit_totals(rows: DataFrame) -> DataFrame:
     )
 
 
+def merge_unit_totals(*periods: DataFrame) -> DataFrame:
+    """Stored ``item_unit_totals`` of several periods as those of all their rows together.
+
+    A new period costs a pass over its own rows and over the totals of earlier ones, never over earlier rows.
+    """
+    together = reduce(DataFrame.unionByName, periods)
+    return together.groupBy("cnpj", KEY, "unidade").agg(
+        *[F.sum(name).cast(TOTAL).alias(name) for name in VALUE_FIELDS],
+        F.min("descricao").alias("descricao"),
+        F.sum("ocorrencias").alias("ocorrencias"),
+    )
+
+
 def product_bridge(product_table: DataFrame) -> DataFrame:
     """(product, item key) rows of a product table with list columns."""
     columns = set(product_table.columns)
@@ -57,13 +72,18 @@ def rekey_items(items: DataFrame) -> DataFrame:
 
 def conversion_base(rows: DataFrame, product_table: DataFrame, items: DataFrame) -> DataFrame:
     """Amounts, mean prices and volume per product and unit."""
+    return base_of_totals(item_unit_totals(rows), product_table, items)
+
+
+def base_of_totals(totals: DataFrame, product_table: DataFrame, items: DataFrame) -> DataFrame:
+    """The same from amounts per item and unit, of one period or merged from several."""
     bridge = (
         product_bridge(product_table)
         .join(rekey_items(items), ["cnpj", "__item"])
         .groupBy("cnpj", KEY, "chave_produto", "unid_padrao")
         .agg(F.max("score_confianca_produto").alias("score_confianca_produto"))
     )
-    joined = item_unit_totals(rows).join(bridge, ["cnpj", KEY])
+    joined = totals.join(bridge, ["cnpj", KEY])
     grouped = joined.groupBy(*PRODUCT, "unidade", "unid_padrao").agg(
         F.sum("valor_entrada").alias("v_entr_total"),
         F.sum("quantidade_entrada").alias("q_entr_total"),
