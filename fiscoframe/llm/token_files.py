@@ -27,7 +27,7 @@ ship(__name__)
 
 END = 0
 #: Bytes of encoded chunks that a worker remembers, in two generations, and what an entry takes beside its text.
-REMEMBERED, ENTRY = 128 << 20, 150
+REMEMBERED, ENTRY = 192 << 20, 150
 #: Bytes of text that are encoded at once: the larger, the fewer different chunks are looked up again.
 PIECE = 4 << 20
 #: Chunks that the library gets as one string.
