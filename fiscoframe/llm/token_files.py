@@ -96,6 +96,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # every chunk is encoded once, so that the library's own memory of words would only cost time
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = [t.content for t in added.values()]
         # a piece is written with one character for each byte, an added token as it is
