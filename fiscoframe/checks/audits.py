@@ -397,7 +397,7 @@ _audit(
     " UNION ALL ".join(
         f"SELECT '{query}' AS consulta, 'written' AS situacao, (SELECT count(*) FROM ({sql})) AS linhas"
         if CATALOGUE[query].per_taxpayer
-        else f"SELECT '{query}', 'skipped', NULL"
+        else f"SELECT '{query}', 'skipped', 0"
         for query, sql in AUDITS.items()
     ),
 )
@@ -407,7 +407,7 @@ def a13_all(t):
     root = f"{work_folder(spark)}/extract-{uuid.uuid4().hex}"
     done = extract(t, PARAMS, table_writer(root))
     counts = [
-        (read_table(spark, o.detail).agg(F.count("*").alias("linhas")) if o.status == "written" else spark.range(1).select(F.lit(None).cast("long").alias("linhas")))
+        (read_table(spark, o.detail).agg(F.count("*").alias("linhas")) if o.status == "written" else spark.range(1).select(F.lit(0).cast("long").alias("linhas")))
         .select(F.lit(o.query).alias("consulta"), F.lit(o.status).alias("situacao"), "linhas")
         for o in done
     ]
