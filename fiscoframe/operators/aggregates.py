@@ -7,7 +7,7 @@ row into (attribute, value) pairs.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -80,31 +80,46 @@ def _only(column: Column) -> Column:
     return F.nullif(strip(F.get(column, 0)), F.lit(""))
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: inside, it is the variable of a lambda, not a copy of its expression."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _most_frequent(values: Column, tie: str) -> Column:
+    """Most frequent element of a sorted list, by its runs of equal neighbours."""
+    starts = F.array_compact(
+        F.transform(values, lambda v, i: F.when((i == 0) | (F.get(values, i - 1) != v), i).otherwise(F.lit(None)))
+    )
+
+    def runs(at: Column) -> Column:
+        return F.transform(
+            at,
+            lambda start, j: F.struct(
+                (start - F.coalesce(F.get(at, j + 1), F.size(values))).alias("n"),
+                _tie_key(F.get(values, start), tie).alias("t"),
+                F.get(values, start).alias("v"),
+            ),
+        )
+
+    return _bound(starts, lambda at: F.array_min(runs(at))["v"])
+
+
 def mode_of_list(column: Column, tie: str = ALPHABETICAL) -> Column:
     """Mode of one list cell (blanks ignored, values stripped).
 
     Short lists and lists without repeats, the usual case, are answered directly;
-    otherwise the values are sorted and counted as runs of equal neighbours.
+    otherwise the values are sorted once and counted as runs of equal neighbours.
     """
     listed = F.coalesce(column, F.array().cast("array<string>"))
     clean = F.array_remove(F.transform(listed, strip), "")
-    values = F.sort_array(clean)
-    flagged = F.transform(
-        values, lambda v, i: F.when((i == 0) | (F.get(values, i - 1) != v), i).otherwise(F.lit(None))
-    )
-    starts = F.array_compact(flagged)
-    runs = F.transform(
-        starts,
-        lambda start, j: F.struct(
-            (start - F.coalesce(F.get(starts, j + 1), F.size(values))).alias("n"),
-            _tie_key(F.get(values, start), tie).alias("t"),
-            F.get(values, start).alias("v"),
-        ),
-    )
-    counted = F.array_min(runs)["v"]
-    if tie == ALPHABETICAL:
-        counted = F.when(F.size(F.array_distinct(clean)) == F.size(clean), F.array_min(clean)).otherwise(counted)
-    return F.when(F.size(listed) <= 1, _only(listed)).otherwise(counted)
+
+    def chosen(values: Column) -> Column:
+        counted = _bound(F.sort_array(values), lambda ascending: _most_frequent(ascending, tie))
+        if tie != ALPHABETICAL:
+            return counted
+        return F.when(F.size(F.array_distinct(values)) == F.size(values), F.array_min(values)).otherwise(counted)
+
+    return F.when(F.size(listed) <= 1, _only(listed)).otherwise(_bound(clean, chosen))
 
 
 def word_count(column: Column) -> Column:
