@@ -43,10 +43,15 @@ def is_valid_cnpj(column: Column) -> Column:
     return well_formed & F.coalesce(checked, F.lit(False))
 
 
+def item_key_text(fields: tuple[str, ...] = ITEM_KEY_FIELDS) -> Column:
+    """The key fields, each stripped and upper-cased, null as empty, in one text."""
+    parts = [F.coalesce(F.upper(strip(F.col(name).cast("string"))), F.lit("")) for name in fields]
+    return F.concat_ws("|", *parts)
+
+
 def item_key(fields: tuple[str, ...] = ITEM_KEY_FIELDS) -> Column:
     """MD5 of the key fields, each stripped and upper-cased, null as empty."""
-    parts = [F.coalesce(F.upper(strip(F.col(name).cast("string"))), F.lit("")) for name in fields]
-    return F.md5(F.concat_ws("|", *parts))
+    return F.md5(item_key_text(fields))
 
 
 def set_key(column: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscoframe.functions import text
-from fiscoframe.functions.keys import item_key
+from fiscoframe.functions.keys import item_key, item_key_text
 from fiscoframe.operators.aggregates import sorted_distinct
 from fiscoframe.operators.lookup import ClassificationTables, classify
 from fiscoframe.operators.ranking import nulls_last, number_rows, numbered_id
@@ -18,6 +18,9 @@ from fiscoframe.sources.readers import read_inventory_items, read_invoice_items,
 from fiscoframe.sources.tables import base_year, first_available
 
 KEY = "chave_item_individualizado"
+#: Parts of a taxpayer's items: rows of one item share a part, a large taxpayer is spread over all of them.
+PARTS = 16
+_PART = "__part"
 
 
 def transactions(
@@ -42,29 +45,39 @@ def with_item_key(df: DataFrame) -> DataFrame:
     return df.withColumn(KEY, item_key())
 
 
-def condense(rows: DataFrame) -> DataFrame:
+def condense(rows: DataFrame, *more: str) -> DataFrame:
     """Sum transactions with the same raw item fields, unit and source.
 
-    A plain hash aggregation that reduces the lines on the map side, so that keys and
-    normalised texts are computed once per distinct item instead of once per line.
+    A plain hash aggregation, so that keys and normalised texts are computed once per distinct item instead
+    of once per line; rows that no earlier step has moved are reduced on the map side.
     """
-    return rows.groupBy("cnpj", *ITEM_KEY_FIELDS, "unidade", "fonte").agg(
+    return rows.groupBy("cnpj", *more, *ITEM_KEY_FIELDS, "unidade", "fonte").agg(
         *[F.sum(name).alias(name) for name in VALUE_FIELDS],
         F.min(F.col("ano").try_cast("int")).alias("ano"),
         F.count(F.lit(1)).alias("ocorrencias"),
     )
 
 
+def by_item_part(rows: DataFrame) -> DataFrame:
+    """Rows moved once, to the task of their taxpayer and part; what follows by item finds them there.
+
+    The key itself does not travel: it is computed from the fields where the rows arrive.  A key that most rows
+    share streams through one hash aggregation, which takes no memory for its lines.
+    """
+    part = F.pmod(F.xxhash64(item_key_text()), F.lit(PARTS)).cast("int")
+    return rows.withColumn(_PART, part).repartition("cnpj", _PART)
+
+
 def aggregate_items(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Group transactions by taxpayer and item key.
 
-    Sums and small sets are combined before each shuffle, so an item used in a large
-    share of all rows costs one partial row per task.
+    Every line moves once.  Sums per raw item, the grouping by key and the join of the base year all find their rows
+    where that move put them; the years, one row per taxpayer, are repeated for every part.
     """
     ledger_row = F.col("fonte").isin("C170", "bloco_h")
     grouped = (
-        with_item_key(condense(rows))
-        .groupBy("cnpj", KEY)
+        with_item_key(condense(by_item_part(rows), _PART))
+        .groupBy("cnpj", _PART, KEY)
         .agg(
             *[F.min(name).alias(name) for name in ITEM_KEY_FIELDS],
             F.sum("valor_entrada").cast("double").alias("total_entradas"),
@@ -80,11 +93,13 @@ def aggregate_items(rows: DataFrame, files: DataFrame | None = None) -> DataFram
     if files is None:
         year: Column = F.coalesce("ano", F.lit(""))
     else:
-        grouped = grouped.join(base_year(files), "cnpj", "left")
+        every = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias(_PART)
+        years = base_year(files).select("cnpj", "ano_base", every)
+        grouped = grouped.join(years.hint("shuffle_hash"), ["cnpj", _PART], "left")
         year = F.coalesce(
             F.least(F.col("ano"), F.when(F.col("__uses_base_year"), F.col("ano_base"))), F.col("ano_base"), F.lit("")
         )
-    return grouped.withColumn("ano", year).drop("__uses_base_year", "ano_base")
+    return grouped.withColumn("ano", year).drop("__uses_base_year", "ano_base", _PART)
 
 
 def _display_order() -> list[Column]:

@@ -5,9 +5,13 @@ from __future__ import annotations
 import random
 import time
 
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from fiscoframe.operators import aggregates as ag
+from fiscoframe.operators.sets import union_conformed
+from fiscoframe.plans import items as it
+from fiscoframe.schemas import TRANSACTION
 
 
 def test_mode_of_a_long_list_sorts_once(spark):
@@ -21,3 +25,26 @@ def test_mode_of_a_long_list_sorts_once(spark):
         assert plain.count(df.select(ag.mode_of_list(F.col("l"), tie)).first()[0]) == most
     # sorting again for every element takes minutes
     assert time.monotonic() - start < 60
+
+
+def test_item_lines_move_once(spark, tables):
+    rows = spark.createDataFrame([("1", "7", "caneta", "un", "C170")], "cnpj string, codigo string, descricao string, unidade string, fonte string")
+    rows = union_conformed([rows], TRANSACTION).localCheckpoint()
+    files = tables["reg_0000"].select("cnpj", "dt_ini").localCheckpoint()
+    plan = plan_of(it.aggregate_items(rows, files))
+    # the lines once, the files once by taxpayer; the years only once more, where they are not sent to all tasks
+    assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_items_are_grouped_by_the_whole_key(spark):
+    """A bar inside a field and another case lead to one key; a hot taxpayer fills several parts."""
+    lines = [("1", " a|b", "c", 1), ("1", "A", "b|C ", 2), ("1", "a", "b", 4)] + [("2", f"i{i % 40}", "x", 1) for i in range(400)]
+    rows = spark.createDataFrame(lines, "cnpj string, codigo string, descricao string, valor_saida int").withColumn("fonte", F.lit("NFe"))
+    rows = union_conformed([rows], TRANSACTION)
+    files = spark.createDataFrame([("1", "1999-01-01"), ("3", "1998-01-01")], "cnpj string, dt_ini string")
+    items = it.aggregate_items(rows, files)
+    got = {(r.cnpj, r.codigo, r.descricao): (r.total_saidas, r.ano) for r in items.where("cnpj = '1'").collect()}
+    assert got == {("1", " a|b", "b|C "): (3.0, "1999"), ("1", "a", "b"): (4.0, "1999")}
+    assert items.where("cnpj = '2' AND total_saidas = 10 AND ano = ''").count() == 40
+    parts = it.by_item_part(rows).where("cnpj = '2'").select("__part").distinct().count()
+    assert parts > 8
