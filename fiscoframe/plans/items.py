@@ -14,6 +14,7 @@ from fiscoframe.operators.lookup import ClassificationTables, classify
 from fiscoframe.operators.ranking import nulls_last, number_rows, numbered_id
 from fiscoframe.operators.sets import union_conformed
 from fiscoframe.schemas import ITEM_KEY_FIELDS, TRANSACTION, VALUE_FIELDS
+from fiscoframe.session import stage
 from fiscoframe.sources.readers import read_inventory_items, read_invoice_items, read_ledger_items
 from fiscoframe.sources.tables import base_year, first_available
 
@@ -108,7 +109,8 @@ def _display_order() -> list[Column]:
 
 def item_characteristics(rows: DataFrame, files: DataFrame | None = None, version: int = 2) -> DataFrame:
     """Item table.  Version 1 names items ``item_N``; version 2 keeps the hash key."""
-    numbered = number_rows(aggregate_items(rows, files), ["cnpj"], _display_order())
+    # numbering reads its input three times, twice the key columns alone
+    numbered = number_rows(stage(aggregate_items(rows, files)), ["cnpj"], _display_order())
     sequence = numbered_id("item_")
     amounts = ("total_entradas", "total_saidas", "qtd_entradas", "qtd_saidas", "lista_unidades", "fonte")
     if version == 1:
