@@ -19,6 +19,7 @@ from fiscoframe.operators.aggregates import (
 )
 from fiscoframe.operators.ranking import number_rows, numbered_id
 from fiscoframe.operators.sets import union_conformed
+from fiscoframe.plans.items import PARTS
 from fiscoframe.schemas import MOVEMENT
 from fiscoframe.session import stage
 from fiscoframe.sources.readers import (
@@ -57,12 +58,15 @@ def with_normalized_description(movements: DataFrame) -> DataFrame:
 def products(movements: DataFrame) -> DataFrame:
     """One product per normalised description.
 
-    Movements are reduced to distinct attribute tuples first, which spreads a common
-    description over many groups and combines on the map side.
+    Movements are moved once, to the task of their taxpayer and part of its descriptions.  There they are reduced to
+    distinct attribute tuples, which keeps the lines of a common description out of memory, and grouped.
+    The result is stored, as numbering reads it three times.
     """
     attributes = ("descricao", "descr_compl", "codigo", "tipo_item", "ncm", "cest", "gtin", "unid")
-    tuples = with_normalized_description(movements.select("cnpj", *attributes).distinct())
-    grouped = tuples.groupBy("cnpj", "descricao_normalizada").agg(
+    part = F.pmod(F.xxhash64(normalize_description(F.col("descricao"))), F.lit(PARTS)).cast("int")
+    moved = movements.select("cnpj", *attributes, part.alias("__part")).repartition("cnpj", "__part")
+    tuples = with_normalized_description(moved.distinct())
+    grouped = tuples.groupBy("cnpj", "__part", "descricao_normalizada").agg(
         F.min("descricao").alias("descricao"),
         sorted_distinct(F.col("descr_compl")).alias("lista_desc_compl"),
         sorted_distinct(F.col("codigo")).alias("lista_codigos"),
@@ -72,6 +76,7 @@ def products(movements: DataFrame) -> DataFrame:
         sorted_distinct(F.col("gtin")).alias("lista_gtin"),
         sorted_distinct(F.col("unid")).alias("lista_unid"),
     )
+    grouped = stage(grouped.drop("__part"))
     numbered = number_rows(grouped, ["cnpj"], [F.col("descricao_normalizada")])
     rest = [c for c in grouped.columns if c != "cnpj"]
     return numbered.select("cnpj", numbered_id("id_produto_").alias("chave_produto"), *rest)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fiscoframe.operators import aggregates as ag
 from fiscoframe.operators.sets import union_conformed
 from fiscoframe.plans import items as it
+from fiscoframe.plans import products as pr
 from fiscoframe.schemas import TRANSACTION
 
 
@@ -48,3 +49,12 @@ def test_items_are_grouped_by_the_whole_key(spark):
     assert items.where("cnpj = '2' AND total_saidas = 10 AND ano = ''").count() == 40
     parts = it.by_item_part(rows).where("cnpj = '2'").select("__part").distinct().count()
     assert parts > 8
+
+
+def test_numbering_reads_a_stored_table(spark, tables):
+    """Three passes over the item and product tables must not run their joins and groupings three times."""
+    items = it.item_characteristics(it.transactions(tables), tables["reg_0000"])
+    made = pr.products(pr.unit_movements(tables))
+    for table in (items, made):
+        plan = plan_of(table)
+        assert "stage-" in plan and "lineitem" not in plan
