@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fiscoframe.operators import aggregates as ag
 from fiscoframe.operators.sets import union_conformed
+from fiscoframe.plans import descriptions as ds
 from fiscoframe.plans import items as it
 from fiscoframe.plans import products as pr
 from fiscoframe.schemas import TRANSACTION
@@ -58,3 +59,11 @@ def test_numbering_reads_a_stored_table(spark, tables):
     for table in (items, made):
         plan = plan_of(table)
         assert "stage-" in plan and "lineitem" not in plan
+
+
+def test_descriptions_move_plain_items(tables):
+    """Sets collected before the move weigh several times the rows, as few items share a description."""
+    items = it.normalize_items(it.aggregate_items(it.transactions(tables), tables["reg_0000"]))
+    for table in (ds.descriptions(items), ds.descriptions_v2(items)):
+        last_move = plan_of(table).split("Exchange")[0]
+        assert last_move.count("collect_set") > last_move.count("partial_collect_set") > 0
