@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import sys
 import time
 
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from fiscoframe.functions import text
 from fiscoframe.operators import aggregates as ag
 from fiscoframe.operators.sets import union_conformed
 from fiscoframe.plans import descriptions as ds
@@ -67,3 +69,28 @@ def test_descriptions_move_plain_items(tables):
     for table in (ds.descriptions(items), ds.descriptions_v2(items)):
         last_move = plan_of(table).split("Exchange")[0]
         assert last_move.count("collect_set") > last_move.count("partial_collect_set") > 0
+
+
+def test_parts_of_descriptions_hold_whole_items(spark):
+    """Upper case and normalisation of any character keep its bare letters."""
+    every = [chr(c) for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(c,) for c in every], "c string")
+    bare = text.bare_letters(F.col("c"))
+    others = [F.upper(text.strip(F.col("c"))), text.normalize(F.col("c")), text.normalize_description(F.col("c"), False)]
+    for other in others:
+        assert df.where(bare != text.bare_letters(other)).isEmpty()
+
+
+def test_located_items_need_no_move_for_their_descriptions(spark, tables):
+    lines = [("1", " a|b", "c", 1), ("1", "A", "b|C ", 2), ("1", "q", "b|c", 4), ("1", "q", " B|C", 8), ("1", "z", "c", 16), ("1", "z", None, 32)]
+    rows = spark.createDataFrame(lines, "cnpj string, codigo string, descricao string, valor_saida int").withColumn("fonte", F.lit("NFe"))
+    rows = union_conformed([rows], TRANSACTION)
+    kept, located = (it.aggregate_items(rows, tables["reg_0000"], located=flag) for flag in (False, True))
+    assert located.drop(it.PART).exceptAll(kept).isEmpty() and kept.count() == located.count() == 4
+    for table in (ds.descriptions, ds.descriptions_v2):
+        for over in ("distinct", "rows"):
+            one, other = (table(it.normalize_items(items), over) for items in (kept, located))
+            assert one.exceptAll(other).isEmpty() and other.count() == one.count() == 3
+    made = ds.descriptions(it.normalize_items(it.aggregate_items(it.transactions(tables), located=True)))
+    last_move = plan_of(made).split("Exchange")[0]
+    assert last_move.count("Union") == 1
