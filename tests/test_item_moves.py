@@ -9,12 +9,16 @@ import time
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from fiscoframe.checks.jobs import _stored_items
 from fiscoframe.functions import text
+from fiscoframe.functions.keys import packed_key, unpacked_key
 from fiscoframe.operators import aggregates as ag
 from fiscoframe.operators.sets import union_conformed
 from fiscoframe.plans import descriptions as ds
 from fiscoframe.plans import items as it
+from fiscoframe.plans import merge as mg
 from fiscoframe.plans import products as pr
+from fiscoframe.plans import units
 from fiscoframe.schemas import TRANSACTION
 
 
@@ -94,3 +98,34 @@ def test_located_items_need_no_move_for_their_descriptions(spark, tables):
     made = ds.descriptions(it.normalize_items(it.aggregate_items(it.transactions(tables), located=True)))
     last_move = plan_of(made).split("Exchange")[0]
     assert last_move.count("Union") == 1
+
+
+def test_stored_items_keep_their_place(tables):
+    """Descriptions of the stored item table, and modes over its rows, move nothing but the last join."""
+    items = it.normalize_items(_stored_items(tables))
+    assert "Exchange hashpartitioning" not in plan_of(ds.descriptions(items))
+    modes = ds.descriptions(items, mode_over="rows").select("cnpj", "descricao", "ncm_padrao")
+    assert plan_of(modes).count("Exchange hashpartitioning") <= 2
+
+
+def test_keys_travel_packed(spark):
+    values = ["0f" * 16, "0F" * 16, "item_12", "exactly16letters", "", "é" * 8, "\0" * 17, None]
+    df = spark.createDataFrame([(v,) for v in values], "k string").withColumn("p", packed_key(F.col("k")))
+    assert [r[0] for r in df.select(unpacked_key(F.col("p"))).collect()] == values
+    assert df.select("p").distinct().count() == len(values)
+
+
+def test_totals_and_factors_move_few_times(spark, tables):
+    """Lines, items and products move by the key of their next join, and stay there for all groups by it."""
+    items = _stored_items(tables)
+    rows = it.transactions(tables, inventory=False).localCheckpoint()
+    described = ds.descriptions_v2(it.normalize_items(items)).localCheckpoint()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = plan_of(mg.with_value_totals(mg.editable_table(described), rows, items))
+        factors = plan_of(units.conversion_factors_v2(units.conversion_base(rows, ds.consolidated_products(described), items)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert totals.count("Exchange hashpartitioning") <= 6
+    assert factors.count("Exchange hashpartitioning") <= 5
