@@ -129,3 +129,11 @@ def test_totals_and_factors_move_few_times(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert totals.count("Exchange hashpartitioning") <= 6
     assert factors.count("Exchange hashpartitioning") <= 5
+
+
+def test_recomputed_defaults_count_where_rows_are(spark, tables):
+    """Attribute values move as columns of their item, not as one row each."""
+    items = it.normalize_items(_stored_items(tables))
+    editable = mg.editable_table(ds.descriptions(items)).localCheckpoint()
+    plan = plan_of(mg.recompute_defaults(editable, items))
+    assert "partial_min_by" in plan and plan.split("Generate inline")[0].count("Exchange hashpartitioning") <= 1
