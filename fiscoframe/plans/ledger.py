@@ -2,7 +2,8 @@
 
 All start from the file version in force at the cut-off.  The version table is
 joined to the document header first; items then join the reduced header, so the
-large item tables meet the version filter through their own header key.
+large item tables meet the version filter through their own header key.  Every join
+has the file among its keys, so registers move once, to the task of their file.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from fiscoframe.operators.predicates import between_dates, equals_if_given
 from fiscoframe.operators.versioning import all_versions, valid_files
 from fiscoframe.plans.parameters import Params, one_taxpayer
 from fiscoframe.schemas import MEASURE, measure
+from fiscoframe.session import by_leading_keys
 
 # Adjustment codes of the refund reconciliation.
 OWN_CREDIT_CODES = ("RO020023", "RO020049")
@@ -32,7 +34,7 @@ T = Mapping[str, DataFrame]
 
 def files_in_force(t: T, p: Params, by_period: bool = False) -> DataFrame:
     """Valid version of every ledger file, from the header register."""
-    files = one_taxpayer(t["reg_0000"], "cnpj", p.cnpj)
+    files = by_leading_keys(one_taxpayer(t["reg_0000"], "cnpj", p.cnpj))
     if by_period:
         files = files.where(between_dates(F.col("dt_ini"), p.start, p.end, p.today or p.limit))
     files = files.select(
