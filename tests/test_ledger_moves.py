@@ -32,6 +32,12 @@ def test_registers_move_by_their_file_alone(unhinted, query):
     assert not by_several
 
 
+def test_analytic_items_move_by_file_and_operation_alone(unhinted):
+    found = [keys for keys, _ in moves(CATALOGUE["c176_v2"].run(bound_tables(unhinted, FOLDER), PARAMS))]
+    assert not [k for k in found if "reg_c100_id" in k or "cod_nat" in k or "cod_item" in k]
+    assert not [k for k in found if k.startswith("cst_icms") or k.startswith("segmento_cest")]
+
+
 @pytest.mark.parametrize("name", sorted(MOVED_ONCE))
 def test_views_for_spark_have_the_same_rows(spark, name):
     tables = bound_tables(spark, FOLDER)
