@@ -45,7 +45,7 @@ def files_in_force(t: T, p: Params, by_period: bool = False) -> DataFrame:
 
 def declared_files_in_force(t: T, p: Params) -> DataFrame:
     """Valid version of every ledger file, from the valid-file dimension."""
-    files = one_taxpayer(t["dm_efd_arquivo_valido"], "co_cnpj_cpf_declarante", p.cnpj).select(
+    files = by_leading_keys(one_taxpayer(t["dm_efd_arquivo_valido"], "co_cnpj_cpf_declarante", p.cnpj)).select(
         "reg_0000_id",
         F.col("co_cnpj_cpf_declarante").alias("cnpj"),
         F.col("in_codigo_finalidade").alias("cod_fin_efd"),

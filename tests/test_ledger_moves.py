@@ -25,7 +25,7 @@ def moves(df):
     return re.findall(r"Exchange hashpartitioning\((.*), \d+\), (\w+)", plan)
 
 
-@pytest.mark.parametrize("query", ["c170"])
+@pytest.mark.parametrize("query", ["c170", "c176"])
 def test_registers_move_by_their_file_alone(unhinted, query):
     found = [keys for keys, why in moves(CATALOGUE[query].run(bound_tables(unhinted, FOLDER), PARAMS)) if why == "ENSURE_REQUIREMENTS"]
     by_several = [k for k in found if k.count("#") > 1 and "cnpj" not in k and "p_partkey" not in k]
