@@ -191,14 +191,21 @@ def code_suffixes(items: DataFrame) -> DataFrame:
 
 
 def codes_with_several_descriptions(items: DataFrame) -> DataFrame:
-    """The same as one row per code; the suffix is the position in the sorted list."""
+    """The same as one row per code; the suffix is the position in the sorted list.
+
+    Items are read once and moved once, as plain rows, to the task of their code, which lists and counts them.
+    """
+    rows = items.where(not_blank(F.col("cod_normalizado"))).select("cnpj", "cod_normalizado", KEY, "descricao")
     entry = F.struct(F.col("descricao"), F.col(KEY))
-    entries = F.sort_array(F.collect_list(entry))
     code = F.col("cod_normalizado")
+    # a null description counts as one
+    different = F.size(F.array_distinct(F.transform("entries", lambda e: e["descricao"]))).cast("bigint")
     grouped = (
-        _several_descriptions(items)
+        rows.repartition("cnpj", "cod_normalizado")
         .groupBy("cnpj", "cod_normalizado")
-        .agg(entries.alias("entries"), F.max("qtd_descr").alias("qtd_descr"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        .withColumn("qtd_descr", different)
+        .where(F.col("qtd_descr") > 1)
     )
     return grouped.select(
         "cnpj",
