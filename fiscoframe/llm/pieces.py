@@ -29,6 +29,8 @@ ship(__name__)
 MARK = "▁"
 #: Words that a task remembers before it starts its table anew.
 REMEMBERED = 150_000
+#: Bytes of text that are encoded together: words, symbols and ids of a slice weigh up to a hundred times as much.
+SLICE_BYTES = 250_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -315,7 +317,7 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
 
     def run(batches):
         encoder = kept_by_worker(("pieces", model), lambda: Encoder(model))
-        for piece in slices(batches, most=500_000):
+        for piece in slices(batches, most=SLICE_BYTES):
             ids, counts = encoder.encode(piece.column("text").to_pylist())
             columns = {
                 "doc_id": piece.column("doc_id"),
