@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
+from fiscoframe.operators import aggregates as ag
 from fiscoframe.operators.flags import Rule, with_flags
 from fiscoframe.operators.predicates import Condition, apply_filters
 from fiscoframe.plans import merge as mg
@@ -181,3 +184,39 @@ def test_a_plain_table_is_read_by_key(spark, tmp_path):
     path = str(tmp_path / "plain")
     spark.createDataFrame([("1", 1), ("2", 2)], "cnpj string, v int").write.parquet(path)
     assert sinks.table_layout(spark, path) is None and sinks.read_table(spark, path, "2").collect() == [("2", 2)]
+
+
+def test_modes_and_codes_of_a_group_in_one_pass(spark):
+    """The aggregates that need no move of their own give what the counted rows give."""
+    rng = random.Random(11)
+    entries = ["[10; 3]", "10", "9", "[9;2]", "[b; x]", " 7", "[; 4]", "", None]
+    cell = lambda values: rng.choice([None, [rng.choice(values) for _ in range(rng.randrange(5))]])
+    texts = ["a10", " a9", "a9 ", "", "b", None, "bb"]
+    rows = [(rng.randrange(40), cell(entries), cell(entries), cell(texts), rng.choice(texts)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g int, own array<string>, spare array<string>, l array<string>, s string").repartition("g").localCheckpoint()
+    filled = [F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda v: v != "") for c in ("own", "spare")]
+    default, codes = ag.code_summary(*filled)
+    for tie in (ag.ALPHABETICAL, ag.NATURAL, ag.LONGEST):
+        counted = df.select("g").distinct().join(ag.modes(df, ["g"], {"m": "l", "n": "s"}, tie), "g", "left")
+        at_once = df.groupBy("g").agg(*[ag.mode_of_values(ag.values_of(df, c), tie).alias(n) for n, c in (("m", "l"), ("n", "s"))])
+        assert sorted(counted.collect()) == sorted(at_once.collect())
+    listed = df.select("g", *[c.alias(n) for n, c in zip(("own", "spare"), filled, strict=True)])
+    expected = {r.g: r for r in ag.code_frequencies(listed, ["g"], "own", "spare").collect()}
+    for r in df.groupBy("g").agg(default.alias("d"), codes.alias("l")).collect():
+        want = expected.get(r.g)
+        assert (r.d, r.l) == ((want.codigo_padrao, want.lista_codigos) if want else (None, []))
+
+
+def test_merged_rows_move_by_product_and_by_group(spark, editable):
+    chosen = [("1", "g", k) for _, k, *_ in WHISKY[:3]] + [("1", None, "k4"), ("1", None, WHISKY[0][1])]
+    assignment = spark.createDataFrame(chosen, "cnpj string, grupo string, chave_produto string").localCheckpoint()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = mg.merged_rows(mg.selected_rows(editable.localCheckpoint(), assignment))
+        plan = plan_of(merged)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") <= 3
+    (row,) = merged.collect()
+    assert row.itens_unificados == 3 and row.lista_chave_item_individualizado == ["item_10", "item_11", "item_9"]
