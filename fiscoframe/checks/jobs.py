@@ -262,6 +262,11 @@ _GROUPS_SQL = f"""
            chave_produto, lista_unid FROM p LEFT JOIN n ON n.cnpj = p.cnpj WHERE NOT ({_ASSIGNED})"""
 
 
+def _stored_products(t):
+    """The product table, stored by its key: what joins products finds them there."""
+    return stage_by(pr.products(pr.unit_movements(t, _cfop(t))), "cnpj", "chave_produto")
+
+
 def _assignment(products):
     return products.where(F.substring("descricao_normalizada", 1, 1).isin("S", "B")).select(
         "cnpj",
@@ -272,7 +277,7 @@ def _assignment(products):
 
 @check("I10_grouped_products", _GROUPS_SQL)
 def i10_groups(t):
-    products = stage(pr.products(pr.unit_movements(t, _cfop(t))))
+    products = _stored_products(t)
     grouped = pr.grouped_products(products, _assignment(products))
     return grouped.select("cnpj", "id_agrupado", "lista_chave_produto", "lista_unidades")
 
@@ -288,7 +293,7 @@ def i10_groups(t):
         SELECT d.cnpj, d.id_agrupado, descr_padrao, ncm_padrao FROM d LEFT JOIN m ON m.cnpj = d.cnpj AND m.id_agrupado = d.id_agrupado""",
 )
 def i10_defaults(t):
-    products = stage(pr.products(pr.unit_movements(t, _cfop(t))))
+    products = _stored_products(t)
     grouped = pr.grouped_products(products, _assignment(products))
     return grouped.where(F.col("id_agrupado").startswith("G_")).select("cnpj", "id_agrupado", "descr_padrao", "ncm_padrao")
 
@@ -298,7 +303,7 @@ def i10_defaults(t):
     f"""SELECT cnpj, chave_produto, replace(chave_produto, 'id_produto_', 'id_agrupado_') AS id_agrupado, descricao_normalizada, lista_codigos FROM ({_PRODUCT_TABLE_SQL})""",
 )
 def i10_members(t):
-    products = stage(pr.products(pr.unit_movements(t, _cfop(t))))
+    products = _stored_products(t)
     members = pr.group_members(pr.grouped_products(products), products)
     return members.select("cnpj", "chave_produto", "id_agrupado", "descricao_normalizada", "lista_codigos")
 

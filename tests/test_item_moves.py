@@ -9,7 +9,7 @@ import time
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from fiscoframe.checks.jobs import _stored_items
+from fiscoframe.checks.jobs import _assignment, _stored_items, _stored_products
 from fiscoframe.functions import text
 from fiscoframe.functions.keys import packed_key, unpacked_key
 from fiscoframe.operators import aggregates as ag
@@ -137,3 +137,10 @@ def test_recomputed_defaults_count_where_rows_are(spark, tables):
     editable = mg.editable_table(ds.descriptions(items)).localCheckpoint()
     plan = plan_of(mg.recompute_defaults(editable, items))
     assert "partial_min_by" in plan and plan.split("Generate inline")[0].count("Exchange hashpartitioning") <= 1
+
+
+def test_stored_products_keep_their_place(tables):
+    """Assignments and bridges of the stored product table join it by product without a move."""
+    products = _stored_products(tables)
+    joined = products.join(_assignment(products), ["cnpj", "chave_produto"])
+    assert "Exchange hashpartitioning" not in plan_of(joined)
