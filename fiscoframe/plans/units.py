@@ -22,6 +22,7 @@ from fiscoframe.operators.versioning import latest
 from fiscoframe.plans.items import KEY, normalize_key_fields
 from fiscoframe.plans.products import with_normalized_description
 from fiscoframe.schemas import TOTAL, VALUE_FIELDS
+from fiscoframe.session import by_leading_keys
 
 PRODUCT = ["cnpj", "chave_produto"]
 REFERENCE_OVER_UNIT, UNIT_OVER_REFERENCE = "reference/unit", "unit/reference"
@@ -274,12 +275,17 @@ def review_order() -> list[Column]:
     return [F.col("status_validacao"), F.col("score_confianca"), F.col("chave_produto"), F.col("unidade")]
 
 
-def mean_unit_prices(movements: DataFrame) -> DataFrame:
+def mean_unit_prices(movements: DataFrame, located: bool = False) -> DataFrame:
     """Mean of positive purchases and of positive sales per description and unit.
 
-    Lines are summed per raw description first, which is then normalised once.
+    Lines are summed per raw description first, which is then normalised once.  ``located`` moves the lines to the task
+    of their normalised description instead, whatever the unit, for steps that compare its units.
     """
     raw = "descricao_normalizada" if "descricao_normalizada" in movements.columns else "descricao"
+    if located:
+        described = movements if raw == "descricao_normalizada" else with_normalized_description(movements)
+        raw = "descricao_normalizada"
+        movements = described.select("cnpj", raw, "unid", "compras", "vendas").repartition("cnpj", raw)
 
     def parts(name: str) -> list[Column]:
         positive = F.when(F.col(name) > 0, F.col(name))
@@ -312,7 +318,7 @@ def most_used_unit(prices: DataFrame) -> DataFrame:
 def legacy_factors(product_table: DataFrame, movements: DataFrame) -> DataFrame:
     """Factors from mean prices per movement, unit over reference.
 
-    Only products with several units; pairs without usable prices are left out.
+    Only products, rows of the product table, with several units; pairs without usable prices are left out.
     """
     key = ["cnpj", "descricao_normalizada"]
     # a description has few units: one window gives its most used unit with the prices of that unit
@@ -321,11 +327,11 @@ def legacy_factors(product_table: DataFrame, movements: DataFrame) -> DataFrame:
         F.col("unid"), F.col("preco_medio_compra").alias("compra"), F.col("preco_medio_venda").alias("venda")
     )
     most_used = F.min_by(row, F.struct(-F.col("movimentos"), "unid")).over(of_description)
-    prices = mean_unit_prices(movements).withColumn("__ref", most_used)
-    wide = product_table.withColumn("unid", F.explode("lista_unid")).select(
-        *key, "chave_produto", F.col("descricao").alias("descr_padrao"), "unid"
-    )
-    priced = wide.join(prices, [*key, "unid"]).withColumn("__units", F.count(F.lit(1)).over(Window.partitionBy(*PRODUCT)))
+    # both sides move once, by description, where units are priced, compared and found
+    prices = mean_unit_prices(movements, located=True).withColumn("__ref", most_used)
+    wide = product_table.select(*key, "chave_produto", F.col("descricao").alias("descr_padrao"), "lista_unid").repartition(*key)
+    wide = wide.withColumn("unid", F.explode("lista_unid")).drop("lista_unid")
+    priced = by_leading_keys(wide).join(prices, [*key, "unid"]).withColumn("__units", F.count(F.lit(1)).over(Window.partitionBy(*key, "chave_produto")))
     own = priced.where((F.col("__units") > 1) & (F.col("__ref.unid") != ""))
     ref_compra, ref_venda = F.col("__ref.compra"), F.col("__ref.venda")
     compra = (F.col("preco_medio_compra") > 0) & (ref_compra > 0)

@@ -19,7 +19,7 @@ from fiscoframe.plans import items as it
 from fiscoframe.plans import merge as mg
 from fiscoframe.plans import products as pr
 from fiscoframe.plans import units
-from fiscoframe.schemas import TRANSACTION
+from fiscoframe.schemas import MOVEMENT, TRANSACTION
 
 
 def test_mode_of_a_long_list_sorts_once(spark):
@@ -144,3 +144,20 @@ def test_stored_products_keep_their_place(tables):
     products = _stored_products(tables)
     joined = products.join(_assignment(products), ["cnpj", "chave_produto"])
     assert "Exchange hashpartitioning" not in plan_of(joined)
+
+
+def test_legacy_factors_move_by_description(spark, tables):
+    """Prices, units and products of a description meet in one place."""
+    lines = [("1", " Caneta", "CX", 20, 0), ("1", "CANETA ", "UN", 2, 6), ("1", "caneta", "UN", 4, 0), ("1", "lápis", "UN", 1, 1), ("1", None, "UN", 1, 1), ("2", "caneta", "UN", 9, 0)]
+    movements = spark.createDataFrame(lines, "cnpj string, descricao string, unid string, compras int, vendas int")
+    movements = union_conformed([movements], MOVEMENT).localCheckpoint()
+    made = pr.products(movements)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        factors = units.legacy_factors(made.localCheckpoint(), movements)
+        assert plan_of(factors).count("Exchange hashpartitioning") <= 2
+        got = sorted((r.cnpj, r.unid, r.unid_ref, r.fator) for r in factors.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == [("1", "CX", "UN", 20 / 3), ("1", "UN", "UN", 1.0)]
