@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from conftest import SMALL, plan_of
 from pyspark.sql import functions as F
@@ -12,7 +14,8 @@ from fiscoframe.operators.sets import union_conformed
 from fiscoframe.plans import descriptions as ds
 from fiscoframe.plans import items as it
 from fiscoframe.plans import merge as mg
-from fiscoframe.plans import units
+from fiscoframe.plans import replay, units
+from fiscoframe.plans.replay import replay_merges
 from fiscoframe.schemas import TRANSACTION
 from fiscoframe.sources.reference import marked_cfop
 
@@ -106,3 +109,43 @@ def test_steps_meet_in_the_parts_of_descriptions(spark, tables, no_broadcast):
     assert plan_of(ds.descriptions(normal, mode_over="rows")).count(MOVE) == 0
     # a merge moves its rows to their group alone
     assert plan_of(mg.merged_rows(mg.selected_rows(*_merge_input(tables)))).count(MOVE) == 1
+
+
+def test_replayed_rows_stay_in_their_parts(spark):
+    rows = item_rows(spark, [*LINES, *[("3", str(i), f"item {i}", "UN", i, 1, 1, 1) for i in range(6)]])
+    normal = it.normalize_items(session.stage_by(it.aggregate_items(rows, located=True), "cnpj", it.PART))
+    editable = session.stage_by(mg.editable_table(ds.descriptions(normal, located=True)), "cnpj", it.PART)
+    keys = {(r.cnpj, r.descricao): r.chave_produto for r in editable.collect()}
+    one, two, three = ([keys["3", f"ITEM {i}"] for i in pair] for pair in ((0, 1), (2, 3), (4, 5)))
+    made = [hashlib.md5("".join(sorted(pair)).encode()).hexdigest() for pair in (one, two)]
+    # results and products of the table meet in a later operation; another names what is gone
+    operations = [("3", 1, "a", one), ("3", 2, "b", two), ("3", 3, "c", [*made, three[0]]), ("3", 4, "d", [one[0], three[1]]), ("1", 1, "a", [keys["1", "CANETA"], keys["1", "CAIXA"]])]
+    log = spark.createDataFrame([(c, o, g, k) for c, o, g, named in operations for k in named], "cnpj string, ordem long, grupo string, chave_produto string")
+    placed, plain = (replay_merges(table, log)[0] for table in (editable, editable.drop(it.PART)))
+    assert it.PART not in placed.columns
+    plain = plain.select(*placed.columns)
+    assert placed.exceptAll(plain).isEmpty() and placed.count() == plain.count()
+    assert sorted(r.descricao for r in placed.where("cnpj = '3'").collect()) == ["ITEM 0", "ITEM 5"]
+    # wide rows move once, by their group
+    moves = []
+    original, recorded = replay.merged_rows, lambda rows: moves.append(plan_of(rows)) or original(rows)
+    replay.merged_rows = recorded
+    try:
+        replay_merges(editable, log)
+    finally:
+        replay.merged_rows = original
+    # the merges move to the parts, where they are not sent to all tasks
+    assert moves[0].count("REPARTITION_BY_COL") == 1 and moves[0].count(MOVE) <= 2
+
+
+def test_keys_of_numbered_items_travel_as_bytes(spark, tables):
+    assert "hex(" in plan_of(it.item_characteristics(it.transactions(tables), tables["reg_0000"]))
+
+
+def test_stored_totals_of_periods_stay_in_their_parts(spark):
+    rows = item_rows(spark, LINES)
+    halves = [session.stage_by(units.item_unit_totals(rows.where(half), True), "cnpj", it.PART) for half in (F.col("unidade") == "CX", F.col("unidade") != "CX")]
+    together = units.merge_unit_totals(*halves)
+    assert MOVE not in plan_of(together)
+    whole = units.item_unit_totals(rows, True)
+    assert together.exceptAll(whole.select(*together.columns)).isEmpty() and together.count() == whole.count()
