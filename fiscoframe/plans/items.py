@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscoframe.functions import text
-from fiscoframe.functions.keys import item_key, item_key_text
+from fiscoframe.functions.keys import item_key, item_key_text, packed_key, unpacked_key
 from fiscoframe.operators.aggregates import sorted_distinct
 from fiscoframe.operators.lookup import ClassificationTables, classify
 from fiscoframe.operators.ranking import nulls_last, number_rows, numbered_id
@@ -158,8 +158,9 @@ def _display_order() -> list[Column]:
 
 def item_characteristics(rows: DataFrame, files: DataFrame | None = None, version: int = 2) -> DataFrame:
     """Item table.  Version 1 names items ``item_N``; version 2 keeps the hash key."""
-    # numbering reads its input three times, twice the key columns alone
-    numbered = number_rows(stage(aggregate_items(rows, files)), ["cnpj"], _display_order())
+    # numbering reads its input three times, twice the key columns alone; keys travel as 16 bytes, which have the order of their text
+    items = aggregate_items(rows, files).withColumn(KEY, packed_key(F.col(KEY)))
+    numbered = number_rows(stage(items), ["cnpj"], _display_order()).withColumn(KEY, unpacked_key(F.col(KEY)))
     sequence = numbered_id("item_")
     amounts = ("total_entradas", "total_saidas", "qtd_entradas", "qtd_saidas", "lista_unidades", "fonte")
     if version == 1:
