@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 
 import pytest
 from conftest import SMALL, plan_of
@@ -15,6 +16,8 @@ from fiscoframe.plans import descriptions as ds
 from fiscoframe.plans import items as it
 from fiscoframe.plans import merge as mg
 from fiscoframe.plans import replay, units
+from fiscoframe.plans.catalogue import extract
+from fiscoframe.plans.parameters import Params
 from fiscoframe.plans.replay import replay_merges
 from fiscoframe.schemas import TRANSACTION
 from fiscoframe.sources.reference import marked_cfop
@@ -138,5 +141,21 @@ def test_replayed_rows_stay_in_their_parts(spark):
     assert moves[0].count("REPARTITION_BY_COL") == 1 and moves[0].count(MOVE) <= 2
 
 
+def test_extraction_runs_queries_at_a_time(spark, tables):
+    """Two writes wait for each other; one of them fails and is reported in its place."""
+    both = threading.Barrier(2, timeout=120)
+
+    def write(name, df):
+        both.wait()
+        if name == "reg_0190":
+            raise OSError("full")
+        return f"{name} {df.count() > 0}"
+
+    outcomes = extract(tables, Params(cut_off="1997-06-30"), write, ["reg_0005", "verif_cnpjs", "reg_0190"])
+    assert [(o.query, o.status, o.detail) for o in outcomes] == [
+        ("reg_0005", "written", "reg_0005 True"), ("verif_cnpjs", "skipped", "no taxpayer parameter"), ("reg_0190", "failed", "OSError: full"),
+    ]
+
+
 def test_keys_of_numbered_items_travel_as_bytes(spark, tables):
     assert "hex(" in plan_of(it.item_characteristics(it.transactions(tables), tables["reg_0000"]))
