@@ -84,6 +84,7 @@ def test_parts_give_the_same_rows(spark, lines):
     away, editable = items.drop(it.PART), mg.editable_table(by_text)
     groups = editable.select("cnpj", it.PART, F.substring("descricao", 1, 1).alias("grupo"), "chave_produto")
     pairs = [
+        (mg.with_value_totals(editable.drop(it.PART), rows, items), mg.with_value_totals(editable.drop(it.PART), rows, away)),
         (mg.with_value_totals(editable, rows, items), mg.with_value_totals(editable.drop(it.PART), rows, away)),
         (mg.recompute_defaults(editable, normal), mg.recompute_defaults(editable.drop(it.PART), normal.drop(it.PART))),
         (mg.merged_rows(mg.selected_rows(editable, groups)), mg.merged_rows(mg.selected_rows(editable.drop(it.PART), groups.drop(it.PART)))),
@@ -107,6 +108,8 @@ def test_steps_meet_in_the_parts_of_descriptions(spark, tables, no_broadcast):
     normal = it.normalize_items(items)
     editable, products = mg.editable_table(ds.descriptions(normal, located=True)), ds.consolidated_products(ds.descriptions_v2(normal, located=True))
     assert plan_of(mg.with_value_totals(editable, rows, items)).count(MOVE) == 1
+    # merged products carry no part: lines find their items, then both sides move by item, by product and to the table
+    assert plan_of(mg.with_value_totals(editable.drop(it.PART), rows, items)).count(MOVE) == 5
     assert plan_of(units.conversion_factors_v2(units.conversion_base(rows, products, items))).count(MOVE) == 1
     assert plan_of(mg.recompute_defaults(editable, normal)).count(MOVE) == 0
     assert plan_of(ds.descriptions(normal, mode_over="rows")).count(MOVE) == 0
